@@ -12,10 +12,17 @@ from pyspark.sql import types as T
 
 from tarnkeep.functions.predicates import is_blank, not_matching, out_of_range
 
-REPORT = T.StructType.fromDDL(
-    "`table` STRING, `check` STRING, `type` STRING, `column` STRING, expected DOUBLE, "
-    "actual DOUBLE, passed BOOLEAN, error STRING, total_rows BIGINT"
-)
+REPORT = T.StructType([
+    T.StructField("table", T.StringType()),
+    T.StructField("check", T.StringType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("column", T.StringType()),
+    T.StructField("expected", T.DoubleType()),
+    T.StructField("actual", T.DoubleType()),
+    T.StructField("passed", T.BooleanType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("total_rows", T.LongType()),
+])
 
 
 def _type_of(df: DataFrame, column: str) -> T.DataType:

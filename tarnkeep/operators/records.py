@@ -57,7 +57,12 @@ def extract_items(
 
 
 # Kinds of JSON values and the column types of those that need no closer look.
-_SCALARS = {"string": "STRING", "whole": "BIGINT", "fraction": "DOUBLE", "boolean": "BOOLEAN"}
+_SCALARS = {
+    "string": T.StringType(),
+    "whole": T.LongType(),
+    "fraction": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
 
 
 def _kind(value: Column) -> Column:
@@ -86,7 +91,7 @@ def _spark_type(data_type: T.DataType) -> T.DataType | None:
         return T.DoubleType()
     if isinstance(data_type, T.ArrayType):
         element = _spark_type(data_type.elementType)
-        return element and T.ArrayType(element)
+        return None if element is None else T.ArrayType(element)
     if isinstance(data_type, T.StructType):
         fields = [(f.name, _spark_type(f.dataType)) for f in data_type.fields]
         if any(kind is None for _, kind in fields):
@@ -106,9 +111,7 @@ def _merged_type(kinds: set[str], shape: str) -> T.DataType | None:
     if kinds <= set(_SCALARS):
         if "string" in kinds:
             return T.StringType()
-        return T.StructType.fromDDL(f"c {_SCALARS[kinds.pop()]}")["c"].dataType if len(
-            kinds
-        ) == 1 else None
+        return _SCALARS[kinds.pop()] if len(kinds) == 1 else None
     if len(kinds) > 1:
         return None
     text = re.sub(r"\bOBJECT<", "STRUCT<", shape)

@@ -8,12 +8,14 @@ pages stay in one partition per endpoint. Bodies are handed on page by page, nev
 from __future__ import annotations
 
 import json
+import sys
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -110,10 +112,12 @@ class RestPagesReader(DataSourceReader):
             "PageNumber": self._numbered, "Token": self._tokens,
         }[self.options["pagination"]]
         limit = int(self.options["max_pages"])
-        for count, (page, body, empty) in enumerate(pages(feed), start=1):
-            yield feed.url, page, body, empty
-            if count == limit:
+        numbered = self.options["pagination"] == "PageNumber"
+        last = limit + (int(self.options["start_page"]) - 1 if numbered else 0)
+        for page, body, empty in pages(feed):
+            if limit and page > last:
                 break
+            yield feed.url, page, body, empty
 
     def _get(self, url: str) -> tuple[str, Any, bool]:
         body = self.fetch(url, self.options)
@@ -182,7 +186,11 @@ def read_pages(
     fetch: Fetch = http_fetch,
     name: str = "rest_pages",
 ) -> DataFrame:
-    """Response bodies of the endpoints in ``options`` (``url``, or ``urls`` as a JSON list)."""
+    """Response bodies of the endpoints in ``options`` (``url``, or ``urls`` as a JSON list).
+
+    The reader travels to the workers by value, so this package need not be installed there.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(rest_source(fetch, name))
     return spark.read.format(name).options(**{k: str(v) for k, v in options.items()}).load()
 
