@@ -12,15 +12,21 @@ from tarnkeep.functions.text import clean_identifier
 
 # The date and time spellings that count as a date, each with the shape of its
 # text. Only text of that shape is parsed, so ordinary text costs a pattern test and no more.
+_FRACTION = "[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
 DATE_SHAPES = (
     (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
     (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}", "yyyy-MM-dd HH:mm"),
-    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"),
-    (r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S][XXX]"),
+    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?", f"yyyy-MM-dd HH:mm:ss{_FRACTION}"),
+    (
+        r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?",
+        f"yyyy-MM-dd'T'HH:mm:ss{_FRACTION}[XXX]",
+    ),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
     (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?", "M/d/yyyy H:mm[:ss]"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
     (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
     (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
     (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
@@ -60,12 +66,18 @@ SPARK_TYPES = {
 }
 
 
+# The shortest and the longest of those spellings.
+SHORTEST_DATE, LONGEST_DATE = 8, 32
+
+
 def is_date_text(text: Column) -> Column:
     parsed = [
         F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(fmt)))
         for shape, fmt in DATE_SHAPES
     ]
-    return F.coalesce(*parsed).isNotNull()
+    # a length and a digit run rule out most text before any of the shapes is tried
+    plausible = F.length(text).between(SHORTEST_DATE, LONGEST_DATE) & text.rlike("[0-9]{4}")
+    return F.when(plausible, F.coalesce(*parsed)).isNotNull()
 
 
 def profile(

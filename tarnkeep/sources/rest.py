@@ -203,8 +203,9 @@ def until_first_empty(landed: DataFrame) -> DataFrame:
     asking twice would fetch twice.
     """
     ends = landed.filter("is_empty").groupBy("feed").agg(F.min("page").alias("end"))
+    # one row per endpoint, and the endpoints are listed in the options: small by construction
     return (
-        landed.join(ends, "feed", "left")
+        landed.join(F.broadcast(ends), "feed", "left")
         .filter(F.col("end").isNull() | (F.col("page") < F.col("end")))
         .drop("end")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tarnkeep.plans import calendar, jobs, measures
 from tarnkeep.plans.tables import (
     ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, PROMOTIONS, SALES, SALES_HISTORY,
 )
-from tarnkeep.session import scratch_dir
+from tarnkeep.session import scratch_dir, tune
 from tarnkeep.sinks.history import read_current, read_history
 from tarnkeep.sinks.tables import ensure_schema, write_path
 from tarnkeep.sources import files, rest
@@ -29,7 +30,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query; its session gets the settings the operators count on."""
+
+    @wraps(function)
+    def tuned(spark: SparkSession, sf: str) -> DataFrame:
+        return function(tune(spark), sf)
+
+    QUERIES[function.__name__] = tuned
     return function
 
 
