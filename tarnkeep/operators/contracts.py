@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnkeep.functions.names import named, quoted
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -29,7 +31,7 @@ class Contract:
 
     @property
     def ddl(self) -> str:
-        return ", ".join(f"`{name}` {kind}" for name, kind in self.columns.items())
+        return ", ".join(f"{quoted(name)} {kind}" for name, kind in self.columns.items())
 
 
 def _parse_text(text: Column, target: T.DataType, contract: Contract) -> Column:
@@ -54,7 +56,7 @@ def apply_contract(df: DataFrame, contract: Contract, keep_others: bool = False)
 
     projected = []
     for field in contract.schema.fields:
-        source = F.col(f"`{field.name}`")
+        source = named(field.name)
         have = present[field.name]
         if have == field.dataType:
             cast = source
@@ -64,7 +66,7 @@ def apply_contract(df: DataFrame, contract: Contract, keep_others: bool = False)
             cast = source.try_cast(field.dataType)
         projected.append(cast.alias(field.name))
     if keep_others:
-        projected += [F.col(f"`{n}`") for n in present if n not in contract.columns]
+        projected += [named(n) for n in present if n not in contract.columns]
     return df.select(*projected)
 
 

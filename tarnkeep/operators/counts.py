@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnkeep.functions.names import named
 from tarnkeep.operators.contracts import Contract, timestamp_literal
 from tarnkeep.sinks.tables import append_by_position
 
@@ -30,7 +31,7 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 
 def _distinct_text(field: T.StructField) -> Column:
     """A text that two values share exactly when grouping treats them as equal."""
-    column = F.col(f"`{field.name}`")
+    column = named(field.name)
     kind = field.dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.when(column == 0, F.lit("0.0")).otherwise(column.cast("string"))

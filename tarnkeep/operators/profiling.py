@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnkeep.functions.names import named
 from tarnkeep.functions.text import clean_identifier
 
 # The date and time spellings that count as a date, each with the shape of its
@@ -96,7 +97,7 @@ def profile(
         F.struct(
             F.lit(i).alias("position"),
             F.lit(name).alias("column"),
-            F.col(f"`{name}`").cast("string").alias("value"),
+            named(name).cast("string").alias("value"),
         )
         for i, name in enumerate(df.columns)
     ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnkeep.functions.names import named
 from tarnkeep.functions.predicates import is_blank, not_matching, out_of_range
 
 REPORT = T.StructType([
@@ -31,25 +32,25 @@ def _type_of(df: DataFrame, column: str) -> T.DataType:
 
 def null_percentage_of(df: DataFrame, column: str) -> Column:
     """Null-or-empty share in percent; 0 for an empty table."""
-    blank = F.count_if(is_blank(F.col(f"`{column}`"), _type_of(df, column)))
+    blank = F.count_if(is_blank(named(column), _type_of(df, column)))
     return F.coalesce(F.try_divide(blank, F.count(F.lit(1))) * 100.0, F.lit(0.0))
 
 
 def distinct_count_of(columns: Sequence[str]) -> Column:
     """Distinct values or value combinations; null counts as a value."""
     if len(columns) == 1:
-        column = F.col(f"`{columns[0]}`")
+        column = named(columns[0])
         has_null = F.coalesce(F.max(column.isNull().cast("bigint")), F.lit(0))
         return F.count_distinct(column) + has_null
-    return F.count_distinct(F.struct(*[f"`{c}`" for c in columns]))
+    return F.count_distinct(F.struct(*[named(c) for c in columns]))
 
 
 def range_violations_of(df: DataFrame, column: str, low: Any = None, high: Any = None) -> Column:
-    return F.count_if(out_of_range(F.col(f"`{column}`"), low, high, _type_of(df, column)))
+    return F.count_if(out_of_range(named(column), low, high, _type_of(df, column)))
 
 
 def regex_violations_of(column: str, pattern: str) -> Column:
-    return F.count_if(not_matching(F.col(f"`{column}`"), pattern))
+    return F.count_if(not_matching(named(column), pattern))
 
 
 def null_percentage(df: DataFrame, column: str) -> DataFrame:

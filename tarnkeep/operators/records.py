@@ -141,6 +141,11 @@ def infer_item_schema(df: DataFrame, item: str = "item") -> T.StructType:
     return T.StructType([T.StructField(k, types[k]) for k in sorted(types)])
 
 
+def _type_text(data_type: T.DataType) -> str:
+    """The type in SQL, with nested names quoted where they need it."""
+    return T.StructType([T.StructField("c", data_type)]).toDDL().removeprefix("c ")
+
+
 def items_to_table(
     df: DataFrame, schema: T.StructType | str | None = None, item: str = "item"
 ) -> DataFrame:
@@ -156,6 +161,6 @@ def items_to_table(
     if not schema.fields:
         return df.select(F.try_variant_get(F.col(item), "$", "string").alias("value"))
     return df.select(*[
-        F.try_variant_get(F.col(item), json_path([f.name]), f.dataType.simpleString()).alias(f.name)
+        F.try_variant_get(F.col(item), json_path([f.name]), _type_text(f.dataType)).alias(f.name)
         for f in schema.fields
     ])

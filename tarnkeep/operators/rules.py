@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnkeep.functions.names import quoted
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -32,7 +34,7 @@ class Required(Rule):
 
 
 def required(*columns: str) -> list[Rule]:
-    return [Required(f"{c}_missing", f"`{c}` IS NULL") for c in columns]
+    return [Required(f"{c}_missing", f"{quoted(c)} IS NULL") for c in columns]
 
 
 def order_rules(expected_total: str = "quantity * unit_price") -> list[Rule]:
