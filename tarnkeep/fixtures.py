@@ -21,30 +21,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# output column -> expression, with the tables it needs beside lineitem and orders
+# order column -> expression over the joined tables
 _ORDER_COLUMNS = {
-    "order_id": ("l_orderkey", ()),
-    "customer_id": ("case when l_orderkey % 97 = 0 then null else o_custkey end", ()),
-    "customer_name": ("c_name", ("customer",)),
-    "email": ("concat(lower(replace(c_name, '#', '.')), '@example.com')", ("customer",)),
-    "region": ("r_name", ("customer",)),
-    "order_date": ("cast(o_orderdate as date)", ()),
-    "product_category": ("p_type", ("part",)),
-    "product_name": ("p_name", ("part",)),
-    "quantity": ("cast(l_quantity as int) * case when l_orderkey % 89 = 0 then 0 else 1 end", ()),
-    "unit_price": ("cast(p_retailprice as decimal(10,2))", ("part",)),
-    "discount_pct": ("cast(round(l_discount * 100) as int)", ()),
+    "order_id": "l_orderkey",
+    "customer_id": "case when l_orderkey % 97 = 0 then null else o_custkey end",
+    "customer_name": "c_name",
+    "email": "email",
+    "region": "r_name",
+    "order_date": "cast(o_orderdate as date)",
+    "product_category": "p_type",
+    "product_name": "p_name",
+    "quantity": "cast(l_quantity as int) * case when l_orderkey % 89 = 0 then 0 else 1 end",
+    "unit_price": "price",
+    "discount_pct": "cast(round(l_discount * 100) as int)",
     "total_amount": (
-        "cast(cast(l_quantity as int) * cast(p_retailprice as decimal(10,2))"
-        " + case when l_linenumber = 7 then 1 else 0 end as decimal(10,2))",
-        ("part",),
+        "cast(cast(l_quantity as int) * price"
+        " + case when l_linenumber = 7 then 1 else 0 end as decimal(10,2))"
     ),
-    "sales_channel": ("o_orderpriority", ()),
-    "payment_method": ("l_returnflag", ()),
-    "order_status": ("o_orderstatus", ()),
-    "ship_date": ("cast(l_shipdate as date)", ()),
-    "shipping_zip": ("lpad(cast(o_custkey % 100000 as string), 5, '0')", ()),
+    "sales_channel": "o_orderpriority",
+    "payment_method": "l_returnflag",
+    "order_status": "o_orderstatus",
+    "ship_date": "cast(l_shipdate as date)",
+    "shipping_zip": "lpad(cast(o_custkey % 100000 as string), 5, '0')",
 }
+_OF_CUSTOMER = {"customer_name", "email", "region"}
+_OF_PART = {"product_category", "product_name", "unit_price", "total_amount"}
 
 
 def orders_like(
@@ -53,23 +54,27 @@ def orders_like(
     """Order lines with their customer, region and product.
 
     Every line has its order, customer and part, so only the tables the wanted columns need are
-    joined. Customers are attached to the shorter orders table before it meets the lines.
+    joined. Customers are attached to the shorter orders table before it meets the lines, and
+    what depends on one table alone is worked out there.
     """
     wanted = list(_ORDER_COLUMNS) if columns is None else list(columns)
-    needed = {t for c in wanted for t in _ORDER_COLUMNS[c][1]}
     orders = table(spark, sf_dir, "orders")
-    if "customer" in needed:
+    if _OF_CUSTOMER & set(wanted):
         places = table(spark, sf_dir, "nation").join(
             table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
         )
-        customers = table(spark, sf_dir, "customer").join(
-            places, F.expr("c_nationkey = n_nationkey")
-        )
+        customers = table(spark, sf_dir, "customer").selectExpr(
+            "c_custkey", "c_name", "c_nationkey",
+            "concat(lower(replace(c_name, '#', '.')), '@example.com') as email",
+        ).join(places, F.expr("c_nationkey = n_nationkey"))
         orders = orders.join(customers, F.expr("o_custkey = c_custkey"))
     lines = table(spark, sf_dir, "lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
-    if "part" in needed:
-        lines = lines.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
-    return lines.select(*[F.expr(_ORDER_COLUMNS[c][0]).alias(c) for c in wanted])
+    if _OF_PART & set(wanted):
+        parts = table(spark, sf_dir, "part").selectExpr(
+            "p_partkey", "p_name", "p_type", "cast(p_retailprice as decimal(10,2)) as price"
+        )
+        lines = lines.join(parts, F.expr("l_partkey = p_partkey"))
+    return lines.select(*[F.expr(_ORDER_COLUMNS[c]).alias(c) for c in wanted])
 
 
 def sales_snapshot_1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +15,16 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_DROPPED = f"[^a-zA-Z0-9,.\\-{WHITESPACE}]"
+# The regex engine tests listed Latin characters with one table lookup, ranges and others one by
+# one. So the kept characters are listed, and text without a space from beyond Latin is spared
+# the test for those.
+_KEPT = string.ascii_letters + string.digits + ",.\\-" + "".join(c for c in WHITESPACE if c <= "\xff")
+_WIDE = "".join(c for c in WHITESPACE if c > "\xff")
+_DROPPED = f"[^{_KEPT}]+"
+_DROPPED_AMONG_WIDE = f"[^{_KEPT}{_WIDE}]+"
+_MAYBE_WIDE = f"[{min(_WIDE)}-{max(_WIDE)}]"
+# anchored and without backtracking, so it gives up at the first other character
+_NOTHING = f"\\A[{WHITESPACE}]*+(?i:null)?+[{WHITESPACE}]*+\\z"
 
 
 def clean_text(column: Column) -> Column:
@@ -22,11 +33,11 @@ def clean_text(column: Column) -> Column:
     Null, blank text and the word NULL (in any case) become the empty string.
     """
     text = column.cast("string")
-    blanks = F.lit(WHITESPACE)
-    stripped = F.btrim(text, blanks)
-    return F.when(
-        text.isNull() | (F.upper(stripped) == "NULL"), F.lit("")
-    ).otherwise(F.btrim(F.regexp_replace(text, _DROPPED, ""), blanks))
+    kept = F.when(
+        text.rlike(_MAYBE_WIDE), F.regexp_replace(text, _DROPPED_AMONG_WIDE, "")
+    ).otherwise(F.regexp_replace(text, _DROPPED, ""))
+    kept = F.btrim(kept, F.lit(WHITESPACE))
+    return F.when(text.isNull() | text.rlike(_NOTHING), F.lit("")).otherwise(kept)
 
 
 def clean_identifier(column: Column) -> Column:

@@ -34,16 +34,37 @@ class Contract:
         return ", ".join(f"{quoted(name)} {kind}" for name, kind in self.columns.items())
 
 
+# The shapes of text worth casting: a cast of other text raises and recovers inside, which costs
+# far more than the pattern test.
+_ISO_DATE = "yyyy-MM-dd"
+_ISO_DATE_SHAPE = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
+_WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+_NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DOUBLE_SHAPE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|(?i:nan|inf|infinity))\s*$"
+
+
 def _parse_text(text: Column, target: T.DataType, contract: Contract) -> Column:
+    def shaped(pattern: str, cast: Column) -> Column:
+        return F.when(text.rlike(pattern), cast)
+
     if isinstance(target, T.DateType):
+        if contract.date_format == _ISO_DATE:
+            return shaped(_ISO_DATE_SHAPE, text.try_cast("date"))
         return F.try_to_date(text, contract.date_format)
     if isinstance(target, T.TimestampType):
         if contract.timestamp_format is None:
             return F.try_to_timestamp(text)
         return F.try_to_timestamp(text, F.lit(contract.timestamp_format))
     if isinstance(target, T.IntegralType):
-        # a whole number written with a fraction keeps its whole part
-        return F.coalesce(text.try_cast(target), text.try_cast("double").try_cast(target))
+        # a whole number written with a fraction or an exponent keeps its whole part
+        return F.coalesce(
+            shaped(_WHOLE_SHAPE, text.try_cast(target)),
+            shaped(_NUMBER_SHAPE, text.try_cast("double").try_cast(target)),
+        )
+    if isinstance(target, T.DecimalType):
+        return shaped(_NUMBER_SHAPE, text.try_cast(target))
+    if isinstance(target, (T.FloatType, T.DoubleType)):
+        return shaped(_DOUBLE_SHAPE, text.try_cast(target))
     return text.try_cast(target)
 
 

@@ -12,16 +12,10 @@ from tarnkeep.functions.names import named
 from tarnkeep.functions.text import clean_identifier
 
 # The date and time spellings that count as a date, each with the shape of its
-# text. Only text of that shape is parsed, so ordinary text costs a pattern test and no more.
-_FRACTION = "[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
+# text. ISO spellings are cast, the others parsed by their format; text of no such shape costs
+# the pattern tests and no more.
+ISO_SHAPE = r"\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?)?"
 DATE_SHAPES = (
-    (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
-    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}", "yyyy-MM-dd HH:mm"),
-    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?", f"yyyy-MM-dd HH:mm:ss{_FRACTION}"),
-    (
-        r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?",
-        f"yyyy-MM-dd'T'HH:mm:ss{_FRACTION}[XXX]",
-    ),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
@@ -32,6 +26,8 @@ DATE_SHAPES = (
     (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
     (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
 )
+# The shortest and the longest of those spellings.
+SHORTEST_DATE, LONGEST_DATE = 8, 32
 
 
 @dataclass(frozen=True)
@@ -67,32 +63,20 @@ SPARK_TYPES = {
 }
 
 
-# The shortest and the longest of those spellings.
-SHORTEST_DATE, LONGEST_DATE = 8, 32
-
-
 def is_date_text(text: Column) -> Column:
     parsed = [
         F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(fmt)))
         for shape, fmt in DATE_SHAPES
     ]
-    # a length and a digit run rule out most text before any of the shapes is tried
     plausible = F.length(text).between(SHORTEST_DATE, LONGEST_DATE) & text.rlike("[0-9]{4}")
-    return F.when(plausible, F.coalesce(*parsed)).isNotNull()
-
+    found = F.when(text.rlike(f"^{ISO_SHAPE}$"), text.try_cast("timestamp")).when(
+        plausible, F.coalesce(*parsed)
+    )
+    return found.isNotNull()
 
-def profile(
-    df: DataFrame, ladder: str = "a", table_name: str = "table", sample_rows: int | None = None
-) -> DataFrame:
-    """The narrowest type holding all values of each column: one row per column.
 
-    The table is turned into (position, value) pairs and aggregated once. Tasks pre-aggregate to
-    one row per column, so the shuffle stays as small as the column list whatever the table size.
-    Whole tables are profiled unless ``sample_rows`` says otherwise.
-    """
-    steps = LADDERS[ladder]
-    if sample_rows is not None:
-        df = df.limit(sample_rows)
+def _values(df: DataFrame, table_name: str) -> DataFrame:
+    """The table as (table, position, column, text) rows."""
     pairs = [
         F.struct(
             F.lit(i).alias("position"),
@@ -101,19 +85,28 @@ def profile(
         )
         for i, name in enumerate(df.columns)
     ]
-    values = df.select(F.inline(F.array(*pairs)))
+    return df.select(F.lit(table_name).alias("table_name"), F.inline(F.array(*pairs)))
+
 
-    value = F.when(F.col("value") != "", F.col("value"))
-    number = F.trim(value)
-    whole = number.rlike(r"^[+-]?\d+$") & number.try_cast(steps.integer_type).isNotNull()
-    numeric = number.rlike(f"^({steps.number})$")
-    counted = values.groupBy("position", "column").agg(
+def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
+    longest_word = max(map(len, steps.boolean_words))
+    value, digits, numeric = F.col("value"), F.col("digits"), F.col("numeric")
+    tested = (
+        values.withColumn("value", F.when(value != "", value))
+        .withColumn("number", F.trim("value"))
+        .withColumn("digits", F.col("number").rlike(r"^[+-]?\d+$"))
+        .withColumn("numeric", digits | F.col("number").rlike(f"^({steps.number})$"))
+    )
+    # a failing cast is far dearer than a pattern test, so only digits are cast
+    whole = F.when(digits, F.col("number").try_cast(steps.integer_type)).isNotNull()
+    boolean = (F.length(value) <= longest_word) & F.lower(value).isin(*steps.boolean_words)
+    counted = tested.groupBy("table_name", "position", "column").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(value).alias("filled"),
         F.count_if(whole).alias("whole"),
         F.count_if(numeric).alias("numeric"),
         F.count_if(F.when(~numeric, is_date_text(value))).alias("dates"),
-        F.count_if(F.lower(value).isin(*steps.boolean_words)).alias("booleans"),
+        F.count_if(boolean).alias("booleans"),
         F.max(F.length(value)).alias("max_length"),
     )
 
@@ -133,21 +126,29 @@ def profile(
         .otherwise(F.lit("NVARCHAR(MAX)"))
     )
     return counted.select(
-        F.lit(table_name).alias("table_name"),
-        "position",
-        "column",
-        sql_type.alias("sql_type"),
-        "rows",
-        "filled",
-        "max_length",
+        "table_name", "position", "column", sql_type.alias("sql_type"),
+        "rows", "filled", "max_length",
     )
 
 
+def profile(
+    df: DataFrame, ladder: str = "a", table_name: str = "table", sample_rows: int | None = None
+) -> DataFrame:
+    """The narrowest type holding all values of each column: one row per column.
+
+    The table is turned into (position, value) pairs and aggregated once. Tasks pre-aggregate to
+    one row per column, so the shuffle stays as small as the column list whatever the table size.
+    Whole tables are profiled unless ``sample_rows`` says otherwise.
+    """
+    if sample_rows is not None:
+        df = df.limit(sample_rows)
+    return _profiled(_values(df, table_name), LADDERS[ladder])
+
+
 def profile_tables(tables: dict[str, DataFrame], ladder: str = "a") -> DataFrame:
-    """Profiles of several tables."""
-    return reduce(
-        DataFrame.unionByName, [profile(df, ladder, name) for name, df in tables.items()]
-    )
+    """Profiles of several tables, in one aggregation."""
+    values = reduce(DataFrame.unionAll, [_values(df, name) for name, df in tables.items()])
+    return _profiled(values, LADDERS[ladder])
 
 
 def ddl(profiles: DataFrame, schema: str) -> DataFrame:

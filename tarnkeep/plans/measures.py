@@ -44,6 +44,10 @@ def divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def _percent_of(total: Column) -> Column:
+    return (total.cast("decimal(34,2)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,4)")
+
+
 def _status_is(value: str) -> Column:
     return F.lower("order_status") == value.lower()
 
@@ -59,9 +63,7 @@ def _row_parts(wanted: set[str]) -> dict[str, Column]:
         parts["prices"] = F.sum("unit_price")
         parts["priced"] = F.count("unit_price")
     if "Total Discount Amount" in wanted:
-        percent = F.lit("0.01").cast("decimal(3,2)")
-        gross = F.col("quantity") * F.col("unit_price") * F.col("discount_pct")
-        parts["discount"] = F.sum((gross * percent).cast("decimal(38,4)"))
+        parts["discount"] = F.sum("__discount")
     if "Average Discount %" in wanted:
         parts["percents"] = F.sum(F.col("discount_pct").cast("bigint"))
         parts["discounted"] = F.count("discount_pct")
@@ -78,7 +80,7 @@ def _results(has: Mapping[str, Column]) -> dict[str, Column]:
         "Average Order Value": (["amount", "orders"], divide),
         "Average Quantity per Order": (["units", "orders"], divide),
         "Average Unit Price": (["prices", "priced"], divide),
-        "Total Discount Amount": (["discount"], lambda d: d.cast("decimal(38,4)")),
+        "Total Discount Amount": (["discount"], _percent_of),
         "Average Discount %": (["percents", "discounted"], divide),
         "Shipped Orders": (["shipped"], lambda s: s),
         "Cancelled Orders": (["cancelled"], lambda c: c),
@@ -118,6 +120,19 @@ def measures(
     by_customer = bool(wanted & (set(CUSTOMER_MEASURES) | set(BOTH_MEASURES)))
     parts = _row_parts(wanted)
 
+    # worked out once per row, before rows are copied for a second grain
+    derived = {}
+    if "discount" in parts:
+        units = F.col("quantity").cast("bigint") * F.col("discount_pct")
+        derived["__discount"] = (units * F.col("unit_price")).cast("decimal(31,2)")
+    if wanted & {"Shipped Orders", "Fulfillment Rate"}:
+        derived["__shipped"] = _status_is(statuses["shipped"]).cast("int")
+        parts["shipped"] = F.max("__shipped")
+    if wanted & {"Cancelled Orders", "Cancel Rate"}:
+        derived["__cancelled"] = _status_is(statuses["cancelled"]).cast("int")
+        parts["cancelled"] = F.max("__cancelled")
+    df = df.withColumns(derived) if derived else df
+
     if not (by_order or by_customer):
         totals = df.groupBy(*dims).agg(*[c.alias(n) for n, c in parts.items()])
         return _project(totals, names, dims, {n: F.col(n) for n in parts})
@@ -130,10 +145,6 @@ def measures(
     keyed = df.withColumns(
         {"__order": F.col("order_id"), "__customer": F.col("customer_id")}
     )
-    if wanted & {"Shipped Orders", "Fulfillment Rate"}:
-        parts["shipped"] = F.max(_status_is(statuses["shipped"]).cast("int"))
-    if wanted & {"Cancelled Orders", "Cancel Rate"}:
-        parts["cancelled"] = F.max(_status_is(statuses["cancelled"]).cast("int"))
     if "Repeat Customers" in wanted:
         parts["lowest"] = F.min("order_id")
         parts["highest"] = F.max("order_id")
