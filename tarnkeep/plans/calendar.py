@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnkeep.session import materialize
+
 _MONEY = "decimal(38,2)"
 
 
@@ -88,9 +90,13 @@ def sales_calendar(
     29 February looks back to 28 February. They are found from running totals: this year so far,
     plus all of last year, minus last year up to the same day. A measure with no sale in its
     period is null.
+
+    The day totals are written once and used from there: the steps below need them several times
+    with different columns, and each use would otherwise scan the facts again.
     """
     dims = list(dims)
-    dense = _with_parts(_dense_days(day_totals(df, dims, column), dims))
+    totals = materialize(day_totals(df, dims, column))
+    dense = _with_parts(_dense_days(totals, dims))
     so_far = Window.partitionBy(*dims, "year").orderBy("date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

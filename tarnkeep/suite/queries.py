@@ -126,8 +126,10 @@ def sales_calendar_by_region(spark, sf):
 
 @query
 def sales_by_quarter(spark, sf):
-    orders = orders_like(spark, sf, _DAY_COLUMNS)
-    dated = calendar.join_calendar(orders, calendar.date_dimension(orders))
+    ordered_on = table(spark, sf, "orders").selectExpr("cast(o_orderdate as date) as order_date")
+    dated = calendar.join_calendar(
+        orders_like(spark, sf, _DAY_COLUMNS), calendar.date_dimension(ordered_on)
+    )
     return measures.measures(dated, ["Total Sales"], ["year", "quarter"])
 
 
