@@ -21,7 +21,7 @@ from tarnkeep.operators.rules import Rule, annotate, order_rules
 from tarnkeep.operators.scd2 import scd2_advance, scd2_changes, scd2_rejects, scd2_stage
 from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
 from tarnkeep.session import materialize
-from tarnkeep.sinks.history import last_run, read_current, write_run
+from tarnkeep.sinks.history import HistoryStore
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
 from tarnkeep.sources.files import read_csv, read_path, read_table
 from tarnkeep.sources.rest import Fetch, http_fetch, page_items, read_pages
@@ -125,7 +125,7 @@ def cleanse_orders_job(
 def load_history(
     spark: SparkSession,
     rows: DataFrame,
-    target: str,
+    store: HistoryStore,
     keys: Sequence[str],
     tracked: Sequence[str],
     as_of: date | str | None = None,
@@ -133,7 +133,7 @@ def load_history(
     close_missing: bool = False,
     rejects_path: str | None = None,
 ) -> int:
-    """Load typed rows into the history at ``target``; returns the number of its latest run.
+    """Load typed rows into a history; returns the number of its latest run.
 
     The staged rows are written first: the comparison and the load both need them. The
     comparison reads keys and hashes only, and no run is written if nothing differs.
@@ -141,32 +141,32 @@ def load_history(
     if rejects_path is not None:
         write_path(scd2_rejects(rows, keys), rejects_path, "append")
     staged = scd2_stage(rows, keys, tracked, as_of, null_token)
-    run = last_run(spark, target)
+    run = store.last_run(spark)
     if run == 0:
-        write_run(staged, target, 1)
+        store.write_run(staged, 1)
         return 1
-    staged = materialize(staged)
-    current = read_current(spark, target, run)
+    staged = store.stage(staged)
+    current = store.current(spark, run)
     unchanged = scd2_changes(current, staged, keys).isEmpty()
     if unchanged and close_missing:
         unchanged = current.join(staged, list(keys), "left_anti").isEmpty()
     if unchanged:
         return run
-    write_run(scd2_advance(current, staged, keys, as_of, close_missing), target, run + 1)
+    store.write_run(scd2_advance(current, staged, keys, as_of, close_missing), run + 1)
     return run + 1
 
 
 def history_job(
     spark: SparkSession,
     source: str,
-    target: str,
+    store: HistoryStore,
     spec: HistorySpec,
     as_of: date | str | None = None,
     **options: Any,
 ) -> int:
-    """CSV file set into a history table."""
+    """CSV file set into a history."""
     rows = read_csv(spark, source, spec.contract)
-    return load_history(spark, rows, target, spec.keys, spec.tracked, as_of, **options)
+    return load_history(spark, rows, store, spec.keys, spec.tracked, as_of, **options)
 
 
 def rest_ingest_job(

@@ -506,6 +506,7 @@ ORACLES: dict[str, str] = {
     "cleansing_job_bad": f"""WITH {ORDERS_TEXT} SELECT *, {_VIOLATIONS} AS violations,
         {_LOGGED} AS bad_record_timestamp FROM orders_text WHERE {_BAD}""",
     "sales_history_job": _SALES_HISTORY + " SELECT * FROM history",
+    "sales_history_tables": _SALES_HISTORY + " SELECT * FROM history",
     "promotions_history_job": _PROMOTION_HISTORY + " SELECT * FROM history WHERE current_flag",
     "quality_job": _line_report().replace("'order_lines'", "'checked_lines'"),
 }

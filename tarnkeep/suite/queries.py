@@ -17,11 +17,11 @@ from tarnkeep.operators import (
 )
 from tarnkeep.plans import calendar, jobs, measures
 from tarnkeep.plans.tables import (
-    ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, PROMOTIONS, SALES, SALES_HISTORY,
+    ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, SALES_HISTORY,
 )
 from tarnkeep.session import scratch_dir, tune
-from tarnkeep.sinks.history import read_current, read_history
-from tarnkeep.sinks.tables import ensure_schema, write_path
+from tarnkeep.sinks.history import HistoryFolder, HistoryTable
+from tarnkeep.sinks.tables import ensure_schema
 from tarnkeep.sources import files, rest
 from tarnkeep.suite.feeds import event_count, events_api, feed_urls
 
@@ -556,6 +556,14 @@ def _csv(df: DataFrame) -> str:
     return path
 
 
+def _new_schema(spark: SparkSession, prefix: str) -> str:
+    """A schema of its own for one run, kept in scratch."""
+    location = scratch_dir(spark)
+    name = f"{prefix}_{location.rsplit('-', 1)[1]}"
+    ensure_schema(spark, name, location)
+    return name
+
+
 @query
 def csv_contract(spark, sf):
     return files.read_csv(spark, _csv(orders_like(spark, sf)), ORDERS)
@@ -563,9 +571,7 @@ def csv_contract(spark, sf):
 
 @query
 def medallion_job(spark, sf):
-    schema = scratch_dir(spark).rsplit("-", 1)[1]
-    schema = f"medallion_{schema}"
-    ensure_schema(spark, schema, scratch_dir(spark))
+    schema = _new_schema(spark, "medallion")
     names = jobs.MedallionTables(*[f"{schema}.{t}" for t in ("bronze", "clean", "silver", "log")])
     jobs.medallion_job(spark, _csv(orders_like(spark, sf)), names, as_of=LOGGED_AT)
     return spark.table(names.silver)
@@ -574,8 +580,7 @@ def medallion_job(spark, sf):
 @query
 def medallion_log(spark, sf):
     """The control table after two runs of the job."""
-    schema = "log_" + scratch_dir(spark).rsplit("-", 1)[1]
-    ensure_schema(spark, schema, scratch_dir(spark))
+    schema = _new_schema(spark, "log")
     names = jobs.MedallionTables(
         *[f"{schema}.{t}" for t in ("bronze", "clean", "silver", "log", "appended")]
     )
@@ -613,21 +618,37 @@ def cleansing_job_bad(spark, sf):
 @query
 def sales_history_job(spark, sf):
     """Two CSV loads, then the second again, which adds no run."""
-    target = scratch_dir(spark)
+    store = HistoryFolder(scratch_dir(spark))
     first = _csv(fixtures.sales_snapshot_1(spark, sf))
     second = _csv(fixtures.sales_snapshot_2(spark, sf))
     for source, as_of in ((first, FIRST_LOAD), (second, SECOND_LOAD), (second, "2024-03-01")):
-        jobs.history_job(spark, source, target, SALES_HISTORY, as_of)
-    return read_history(spark, target)
+        jobs.history_job(spark, source, store, SALES_HISTORY, as_of)
+    return store.history(spark)
+
+
+@query
+def sales_history_tables(spark, sf):
+    """The same loads into tables bucketed by the key."""
+    schema = _new_schema(spark, "histories")
+    store = HistoryTable(f"{schema}.sales", SALES_HISTORY.keys, 16)
+    loads = (
+        (fixtures.sales_snapshot_1(spark, sf), FIRST_LOAD),
+        (fixtures.sales_snapshot_2(spark, sf), SECOND_LOAD),
+    )
+    for rows, as_of in loads:
+        jobs.load_history(
+            spark, rows, store, SALES_HISTORY.keys, SALES_HISTORY.tracked, as_of
+        )
+    return store.history(spark)
 
 
 @query
 def promotions_history_job(spark, sf):
-    target = scratch_dir(spark)
+    store = HistoryFolder(scratch_dir(spark))
     for number, as_of in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
         source = _csv(fixtures.promotions_snapshot(spark, sf, number))
-        jobs.history_job(spark, source, target, PROMOTION_HISTORY, as_of)
-    return read_current(spark, target)
+        jobs.history_job(spark, source, store, PROMOTION_HISTORY, as_of)
+    return store.current(spark)
 
 
 @query

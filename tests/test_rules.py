@@ -1,4 +1,4 @@
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from tarnkeep.operators.contracts import Contract, apply_contract
@@ -52,7 +52,8 @@ values = st.fixed_dictionaries({
 })
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True, database=None,
+          phases=[Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(values, max_size=8))
 def test_good_and_bad_are_the_input(spark, changes):
     df = orders(spark, {}, *changes)

@@ -1,6 +1,6 @@
 import re
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from tarnkeep.functions.text import clean_identifier, clean_text
@@ -32,7 +32,8 @@ def test_edge_texts(spark):
     assert cleaned(spark, texts) == [expected(t) for t in texts]
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, derandomize=True, database=None,
+          phases=[Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"], exclude_characters="\x00")), max_size=40))
 def test_any_text(spark, texts):
     if texts:
