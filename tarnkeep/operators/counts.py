@@ -61,7 +61,7 @@ def column_cardinality(df: DataFrame) -> DataFrame:
     ]
     long = df.select(F.inline(F.array(*pairs)))
     return (
-        long.groupBy("position", "column", "value").agg(F.lit(1).alias("one"))
+        long.distinct()
         .groupBy("position", "column").agg(F.count(F.lit(1)).alias("distinct_values"))
         .drop("position")
     )

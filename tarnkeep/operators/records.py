@@ -151,6 +151,7 @@ def items_to_table(
 ) -> DataFrame:
     """Records as a table; the schema is inferred unless given.
 
+    Inference goes through the records once before; save them first where they are dear to make.
     A value that does not fit its column's type is null. Records that are no objects give one
     text column ``value``.
     """

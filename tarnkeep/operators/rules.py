@@ -37,13 +37,17 @@ def required(*columns: str) -> list[Rule]:
     return [Required(f"{c}_missing", f"{quoted(c)} IS NULL") for c in columns]
 
 
+# The order columns that must be filled.
+REQUIRED_ORDER_COLUMNS = (
+    "order_id", "customer_id", "order_date", "product_name", "quantity", "unit_price",
+    "total_amount",
+)
+
+
 def order_rules(expected_total: str = "quantity * unit_price") -> list[Rule]:
     """The order rules; ``expected_total`` is the SQL expression the total must equal."""
     return [
-        *required(
-            "order_id", "customer_id", "order_date", "product_name",
-            "quantity", "unit_price", "total_amount",
-        ),
+        *required(*REQUIRED_ORDER_COLUMNS),
         Rule("quantity_not_positive", "quantity <= 0"),
         Rule("unit_price_negative", "unit_price < 0"),
         Rule("total_negative", "total_amount < 0"),

@@ -47,6 +47,7 @@ PROMOTIONS = Contract({
     "end_date": "DATE",
 })
 
+# The columns that identify an order line.
 ORDER_DEDUP_KEYS = ("order_id", "customer_id", "order_date", "product_name")
 
 

@@ -19,7 +19,7 @@ from tarnkeep.plans import calendar, jobs, measures
 from tarnkeep.plans.tables import (
     ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, SALES_HISTORY,
 )
-from tarnkeep.session import scratch_dir, tune
+from tarnkeep.session import materialize, scratch_dir, tune
 from tarnkeep.sinks.history import HistoryFolder, HistoryTable
 from tarnkeep.sinks.tables import ensure_schema
 from tarnkeep.sources import files, rest
@@ -494,8 +494,8 @@ def json_items_fallback(spark, sf):
 @query
 def json_items_inferred(spark, sf):
     """Columns and types found from the records themselves."""
-    pages = fixtures.api_pages(spark, sf)
-    inferred = records.items_to_table(records.extract_items(pages, "body", "data.items"))
+    items = records.extract_items(fixtures.api_pages(spark, sf), "body", "data.items")
+    inferred = records.items_to_table(materialize(items.select("item")))
     return inferred.select("*", F.col("props")["k"].alias("k")).drop("props")
 
 
