@@ -19,9 +19,10 @@ def event_count(sf_dir: str) -> int:
     return pq.read_metadata(f"{sf_dir}/events.parquet").num_rows
 
 
-def feed_urls(sf_dir: str, rows_per_feed: int) -> list[str]:
-    """One endpoint per range of event ids, so that endpoints grow with the table, not in size."""
+def feed_urls(sf_dir: str, rows_per_feed: int, at_most: int = 4096) -> list[str]:
+    """One endpoint per range of event ids; ranges widen once there are ``at_most`` of them."""
     total = event_count(sf_dir)
+    rows_per_feed = max(rows_per_feed, -(-total // at_most))
     return [
         f"api://events/{low}/{min(low + rows_per_feed, total)}"
         for low in range(0, total, rows_per_feed)
