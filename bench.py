@@ -3,7 +3,7 @@
 ``queries`` are ours. ``multi_pass`` times the same work done one action after another, the shape
 the single-pass forms replace: a job per check, a compare, a count, a close and an append per
 history load, and a filter and a count per side of a split. Each time is the best of
-``BENCH_RUNS`` runs (default 2), after one warm-up query.
+``BENCH_RUNS`` runs (default 2), after one warm-up query; what takes long is run once.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ from tarnkeep.plans.tables import SALES_HISTORY  # noqa: E402
 from tarnkeep.session import scratch_dir, tune  # noqa: E402
 from tarnkeep.suite import queries as suite  # noqa: E402
 
+# seconds after which a query is not run again
+LONG = 6.0
+
 HEADLINE = (
     "measures_core", "measures_by_dim", "measures_by_channel", "measures_status",
     "repeat_customers", "top_products", "sales_ytd_mtd", "sales_last_12m",
     "sales_calendar_by_region", "orders_good", "orders_bad", "orders_violation_counts",
     "orders_dedup", "duplicate_rows", "contract_casts", "bronze_to_silver", "text_clean",
     "dq_report", "column_cardinality", "scd2_first_load", "scd2_second_load", "scd2_changes",
-    "scd2_counts", "promo_scd2", "profile_a", "profile_b", "json_items", "json_items_fallback",
+    "scd2_counts", "promo_scd2", "profile_a", "json_items", "json_items_fallback",
     "json_items_inferred", "rest_pages", "csv_contract", "medallion_job", "cleansing_job_clean",
     "sales_history_job", "quality_job",
 )
@@ -44,7 +47,7 @@ def run(df: DataFrame) -> None:
 
 def best(action: Callable[[], None], runs: int) -> float:
     times = []
-    for _ in range(runs):
+    while len(times) < runs and sum(times) < LONG:
         start = time.perf_counter()
         action()
         times.append(time.perf_counter() - start)
