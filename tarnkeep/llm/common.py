@@ -17,7 +17,7 @@ from tarnkeep.session import materialize
 
 __all__ = [
     "table", "doc_columns", "materialize", "per_text", "part_count", "bounds_of", "in_range",
-    "crc_of_id",
+    "range_of", "id_text", "crc_of_id",
 ]
 
 #: Bytes of a batch that goes to Python at once; long texts then make short batches.
@@ -102,14 +102,23 @@ def bounds_of(docs: DataFrame, parts: int) -> np.ndarray:
     return np.unique(np.array(cuts, dtype=np.int64))
 
 
+def id_text() -> Column:
+    """doc_id as text (null: empty), which keeps all digits on the way to Python."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+
+
+def range_of(bounds: np.ndarray, ids: Iterable[str]) -> np.ndarray:
+    """The range each id (as text) falls in; nulls fall in the first."""
+    known = np.array([int(x) if x else 0 for x in ids], dtype=np.int64)
+    at = np.searchsorted(bounds, known, side="right")
+    return np.where([x == "" for x in ids], 0, at).astype(np.int32)
+
+
 def in_range(bounds: np.ndarray) -> Column:
-    """The range a doc_id falls in; nulls fall in the first."""
-    # as text, ids beyond 2**53 keep their digits where a null makes the batch floating
+    """The range a doc_id falls in."""
     @F.pandas_udf("int")
-    def exact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for ids in batches:
-            known = np.array([int(x) if x else 0 for x in ids], dtype=np.int64)
-            at = np.searchsorted(bounds, known, side="right")
-            yield pd.Series(np.where(ids == "", 0, at).astype(np.int32))
+            yield pd.Series(range_of(bounds, ids))
 
-    return exact(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return find(id_text())

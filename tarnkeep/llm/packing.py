@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.llm.common import as_bytes, doc_columns, materialize
-from tarnkeep.llm.tokens import FILE, Encoder
+from tarnkeep.llm.tokens import FILE, encoder
 
 LENGTH = 2048
 END = 0
@@ -71,10 +71,9 @@ def pieces(docs: DataFrame, capacity: int = LENGTH, file: str = FILE) -> DataFra
     end = END.to_bytes(4, "little")
 
     def pack(frames):
-        encoder = Encoder(file)
         rows: list[tuple] = []
         for frame in frames:
-            ids = encoder.encode(as_bytes(frame["text"]))
+            ids = encoder(file).encode(as_bytes(frame["text"]))
             for doc, known, data in zip(frame["id"], frame["known"], ids, strict=True):
                 data += end
                 for k, at in enumerate(range(0, len(data) // 4, capacity)):

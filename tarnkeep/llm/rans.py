@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.llm.common import (
-    as_bytes, bounds_of, doc_columns, in_range, materialize, part_count, per_text,
+    as_bytes, bounds_of, doc_columns, id_text, materialize, part_count, per_text, range_of,
 )
-from tarnkeep.llm.tokens import FILE, Encoder
+from tarnkeep.llm.tokens import FILE, encoder
 
 END = 2
 #: Bits of the scaled counts: more than ids in the vocabulary, for each needs one.
@@ -38,7 +38,7 @@ SCALE = 20
 LOWEST = 1 << 31  # states stay at or above it, below it times 2**32
 LANES = 512
 BLOCK = 1 << 18
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 
 
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,23 +149,23 @@ def encode(docs: DataFrame, file: str = FILE, segment: int = SEGMENT) -> DataFra
     docs = doc_columns(docs)
     end = END.to_bytes(4, "little")
 
-    def make():
-        encoder = Encoder(file)
+    bounds = bounds_of(docs, parts)
 
-        def of(texts):
+    def make():
+        def of(ids, texts):
             # two bytes are enough for ids of small vocabularies on their way
             out = []
-            for data in encoder.encode(as_bytes(texts)):
-                ids = np.frombuffer(data + end, "<u4")
-                small = ids.max() < 1 << 16
-                out.append((b"2" if small else b"4") + ids.astype("<u2" if small else "<u4").tobytes())
-            return pd.DataFrame({"ids": out})
+            for data in encoder(file).encode(as_bytes(texts)):
+                x = np.frombuffer(data + end, "<u4")
+                small = x.max() < 1 << 16
+                out.append((b"2" if small else b"4") + x.astype("<u2" if small else "<u4").tobytes())
+            return pd.DataFrame({"part": range_of(bounds, ids), "ids": out})
 
         return of
 
-    tokens = docs.select(
-        "doc_id", F.xxhash64("text").alias("h"), in_range(bounds_of(docs, parts)).alias("part"),
-        per_text(make, "ids binary", "text")["ids"].alias("ids"),
+    made = per_text(make, "part int, ids binary", id_text(), "text").alias("made")
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("h"), made).select(
+        "doc_id", "h", "made.part", "made.ids"
     )
     placed = tokens.repartitionById(parts, F.col("part") % parts).sortWithinPartitions(
         "part", F.col("doc_id").asc_nulls_first(), "h", "ids"

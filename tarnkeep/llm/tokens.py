@@ -1,22 +1,30 @@
 """Token ids of whole texts, by a published tokenizer, one piece between white space at a time.
 
 The tokenizer splits at white space first, so the ids of a text are those of its pieces between
-ASCII white space, one after another. Ids of frequent pieces are kept (``KEPT`` at most, about
-100 bytes each); others are encoded anew. A text that holds a special token's start ``<|`` is
-encoded whole.
+ASCII white space, one after another. Ids of the first ``KEPT`` pieces met (about 200 bytes each)
+are kept by a Python worker for all its tasks; others are encoded anew in each batch. A text that
+holds a special token's start ``<|`` is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
+from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
 FILE = "word_bpe_49k.json"
-#: Pieces whose ids a task keeps.
+#: Pieces whose ids a worker keeps.
 KEPT = 300_000
-_ASCII_WORD = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+_MARKED = re.compile(rb"[.,;:!?]\Z")
+#: Words of ASCII and Latin-1 letters: their lower case is plain, and they are composed already.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+# the byte-level alphabet: bytes that print stand for themselves, others follow from 256 on
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
 class Encoder:
@@ -27,55 +35,64 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
         self._kept: dict[bytes, bytes] = {}
         self._marks: dict[bytes, bytes] = {}
+        # a word of plain letters is one piece of the model, if the tokenizer treats it as one
+        sample = "thisisonewordoflettersçàßÿ"
+        self._direct = [t.id for t in self._tokenizer.model.tokenize(self._spelled(sample))] == (
+            self._tokenizer.encode(sample, add_special_tokens=False).ids
+        )
+
+    @staticmethod
+    def _spelled(word: str) -> str:
+        return word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in got]
+        return [array("I", e.ids).tobytes() for e in got]
 
-    def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces; a word is encoded apart from one mark that follows it."""
-        stems, how = {}, []
+        kept, marks, out = self._kept, self._marks, {}
+        tokenize, rest = self._tokenizer.model.tokenize, []
         for piece in missing:
             stem, mark = piece, b""
-            if piece.isascii():
-                stem = piece.lower()
-                if stem[-1:] in b".,;:!?" and len(stem) > 1 and stem[-2] in _ASCII_WORD:
-                    stem, mark = stem[:-1], stem[-1:]
-            how.append((piece, stem, mark))
-            if stem not in self._kept:
-                stems[stem] = b""
-            if mark and mark not in self._marks:
-                self._marks[mark] = self._whole([mark.decode()])[0]
-        if stems:
-            names = list(stems)
-            decoded = [s.decode("utf-8", "surrogatepass") for s in names]
-            stems.update(zip(names, self._whole(decoded), strict=True))
-        room = KEPT - len(self._kept)
-        out = {}
-        for piece, stem, mark in how:
-            ids = stems.get(stem)
+            if _MARKED.search(piece):
+                stem, mark = piece[:-1], piece[-1:]
+            word = stem.decode("utf-8", "surrogatepass")
+            if not (self._direct and _PLAIN(word)):
+                rest.append(piece)
+                continue
+            low = word.lower()
+            key = low.encode()
+            ids = kept.get(key) or out.get(key)
             if ids is None:
-                ids = self._kept[stem]
-            elif room > 0:
-                self._kept[stem] = ids
-                room -= 1
-            out[piece] = ids + self._marks[mark] if mark else ids
-            if room > 0:
-                self._kept[piece] = out[piece]
-                room -= 1
+                ids = out[key] = array("I", [t.id for t in tokenize(self._spelled(low))]).tobytes()
+            if mark:
+                if mark not in marks:
+                    marks[mark] = self._whole([mark.decode()])[0]
+                ids += marks[mark]
+            out[piece] = ids
+        decoded = [s.decode("utf-8", "surrogatepass") for s in rest]
+        out.update(zip(rest, self._whole(decoded), strict=True))
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [None if b"<|" in t else t.split() for t in texts]
         kept = self._kept
-        missing = {p for s in split if s for p in s if p not in kept}
-        fresh = self._learn(sorted(missing)) if missing else {}
-        out = []
-        for text, pieces in zip(texts, split, strict=True):
-            if pieces is None:
-                out.append(self._whole([text.decode("utf-8", "surrogatepass")])[0])
-            elif fresh:
-                out.append(b"".join([kept.get(p) or fresh.get(p, b"") for p in pieces]))
-            else:
-                out.append(b"".join(map(kept.__getitem__, pieces)))
+        fresh = self._learn(set().union(*(s for s in split if s)).difference(kept))
+        room = KEPT - len(kept)
+        kept.update(fresh)
+        out = [
+            self._whole([text.decode("utf-8", "surrogatepass")])[0] if pieces is None
+            else b"".join(map(kept.__getitem__, pieces))
+            for text, pieces in zip(texts, split, strict=True)
+        ]
+        for i, piece in enumerate(fresh):
+            if i >= room:
+                del kept[piece]
         return out
+
+
+@lru_cache(maxsize=2)
+def encoder(file: str = FILE) -> Encoder:
+    """The encoder of this Python process, which its tasks share."""
+    return Encoder(file)
