@@ -39,6 +39,7 @@ class Contract:
 _ISO_DATE = "yyyy-MM-dd"
 _ISO_DATE_SHAPE = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
 _WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+_FRACTION_SHAPE = r"^\s*[+-]?(\d+\.\d*|\.\d+)\s*$"
 _NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _DOUBLE_SHAPE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|(?i:nan|inf|infinity))\s*$"
 
@@ -56,10 +57,17 @@ def _parse_text(text: Column, target: T.DataType, contract: Contract) -> Column:
             return F.try_to_timestamp(text)
         return F.try_to_timestamp(text, F.lit(contract.timestamp_format))
     if isinstance(target, T.IntegralType):
-        # a whole number written with a fraction or an exponent keeps its whole part
+        # a number with a fraction or an exponent keeps its whole part; the fraction is cut off as
+        # text, so that no digit is lost, and only exponents go through a double
+        whole = F.regexp_extract(text, r"^\s*([+-]?\d*)", 1)
+        cut = F.when(whole.rlike(r"\d"), whole.try_cast(target)).otherwise(F.lit(0).cast(target))
+        real = text.try_cast("double")
         return F.coalesce(
             shaped(_WHOLE_SHAPE, text.try_cast(target)),
-            shaped(_NUMBER_SHAPE, text.try_cast("double").try_cast(target)),
+            shaped(_FRACTION_SHAPE, cut),
+            shaped(_NUMBER_SHAPE, F.when(
+                text.rlike("[eE]") & (F.abs(real) < F.lit(2.0**63)), real.try_cast(target)
+            )),
         )
     if isinstance(target, T.DecimalType):
         return shaped(_NUMBER_SHAPE, text.try_cast(target))

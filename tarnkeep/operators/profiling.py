@@ -131,17 +131,13 @@ def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
     )
 
 
-def profile(
-    df: DataFrame, ladder: str = "a", table_name: str = "table", sample_rows: int | None = None
-) -> DataFrame:
+def profile(df: DataFrame, ladder: str = "a", table_name: str = "table") -> DataFrame:
     """The narrowest type holding all values of each column: one row per column.
 
     The table is turned into (position, value) pairs and aggregated once. Tasks pre-aggregate to
     one row per column, so the shuffle stays as small as the column list whatever the table size.
-    Whole tables are profiled unless ``sample_rows`` says otherwise.
+    Whole tables are profiled.
     """
-    if sample_rows is not None:
-        df = df.limit(sample_rows)
     return _profiled(_values(df, table_name), LADDERS[ladder])
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +97,38 @@ def _columns_of(df: DataFrame, check: Mapping[str, Any]) -> list[str]:
     return columns
 
 
+def _number(value: Any, what: str) -> float:
+    try:
+        return float(value)
+    except (TypeError, ValueError):
+        raise _Unusable(f"{what} is no number: {value}") from None
+
+
+def _bound(df: DataFrame, column: str, value: Any) -> Any:
+    """The bound, if values of the column can be compared with it."""
+    kind = df.schema[column].dataType
+    if value is None:
+        return None
+    if isinstance(kind, T.NumericType):
+        _number(value, "bound")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        try:
+            datetime.fromisoformat(str(value))
+        except ValueError:
+            raise _Unusable(f"bound is no date: {value}") from None
+    elif isinstance(kind, T.StringType) and not isinstance(value, str):
+        raise _Unusable(f"bound is no text: {value}")
+    return value
+
+
+def _pattern(df: DataFrame, pattern: Any) -> str:
+    try:
+        df.sparkSession.range(1).select(F.rlike(F.lit(""), F.lit(str(pattern)))).collect()
+    except PySparkException as error:
+        raise _Unusable(f"bad pattern: {pattern}") from error
+    return str(pattern)
+
+
 def _evaluate(df: DataFrame, check: Mapping[str, Any]) -> tuple[Column, float, str]:
     """The aggregate to measure, what it is compared with, and how."""
     kind = check.get("type")
@@ -101,15 +136,21 @@ def _evaluate(df: DataFrame, check: Mapping[str, Any]) -> tuple[Column, float, s
         return F.count(F.lit(1)), check.get("value", 0), ">"
     if kind == "null_pct_lt":
         return null_percentage_of(df, _columns_of(df, check)[0]), _need(check, "threshold"), "<"
+    if kind == "unique_keys" and check.get("approximate"):
+        # a sketch of fixed size instead of a shuffle of all distinct keys; nulls as in the exact form
+        keys = F.struct(*_columns_of(df, check))
+        return F.approx_count_distinct(keys), check.get("expected", 1), ">="
     if kind == "unique_keys":
         return distinct_count_of(_columns_of(df, check)), check.get("expected", 1), ">="
     if kind == "no_duplicate_keys":
         return F.count(F.lit(1)) - distinct_count_of(_columns_of(df, check)), 0, "="
     if kind == "value_range":
         column = _columns_of(df, check)[0]
-        return range_violations_of(df, column, check.get("min"), check.get("max")), 0, "="
+        low, high = (_bound(df, column, check.get(side)) for side in ("min", "max"))
+        return range_violations_of(df, column, low, high), 0, "="
     if kind == "regex":
-        return regex_violations_of(_columns_of(df, check)[0], _need(check, "pattern")), 0, "="
+        column, pattern = _columns_of(df, check)[0], _pattern(df, _need(check, "pattern"))
+        return regex_violations_of(column, pattern), 0, "="
     raise _Unusable("unknown check type")
 
 
@@ -138,12 +179,12 @@ def run_checks(
         }
         try:
             measure, expected, comparison = _evaluate(df, check)
+            expected = F.lit(_number(expected, "expected value"))
         except _Unusable as reason:
             fields |= {"passed": F.lit(False), "error": F.lit(str(reason))}
         else:
             name = f"__m{position}"
             measures.append(measure.cast("double").alias(name))
-            expected = F.lit(float(expected))
             fields |= {
                 "expected": expected,
                 "actual": F.col(name),
@@ -160,7 +201,23 @@ def run_checks(
 def run_checks_on_table(
     spark: SparkSession, table: str, checks: Sequence[Mapping[str, Any]]
 ) -> DataFrame:
-    return run_checks(spark.table(table), checks, table)
+    """The report on a table; if it can't be read, every check has a failed row that says so."""
+    try:
+        df = spark.table(table)
+    except AnalysisException as error:
+        reason = f"table can't be read: {error.getCondition() or table}"
+        rows = [
+            {"table": table, "check": c.get("name") or c.get("type"), "type": c.get("type"),
+             "column": c.get("column"), "passed": False, "error": reason}
+            for c in checks
+        ]
+        return spark.createDataFrame([[r.get(n) for n in REPORT.names] for r in rows], REPORT)
+    return run_checks(df, checks, table)
+
+
+def read_config(spark: SparkSession, path: str) -> dict[str, Any]:
+    """A configuration from a JSON file at any path that Spark reads."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def run_config(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:

@@ -24,11 +24,14 @@ def record_hash(columns: Sequence[str], null_token: str | None = None) -> Column
     """MD5 over the text of the columns, joined by ``||``.
 
     Nulls are skipped unless ``null_token`` stands in for them; without it a value that moves
-    from one column to its null neighbour goes unnoticed.
+    from one column to its null neighbour goes unnoticed. With it bars and backslashes in values
+    are escaped too, so that a separator within a value can't stand for one between values.
     """
     parts = [F.col(c).cast("string") for c in columns]
     if null_token is not None:
-        parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
+        escaped = [F.replace(p, F.lit("\\"), F.lit("\\\\")) for p in parts]
+        escaped = [F.replace(p, F.lit("|"), F.lit("\\|")) for p in escaped]
+        parts = [F.coalesce(p, F.lit(null_token)) for p in escaped]
     return F.md5(F.concat_ws("||", *parts))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -33,10 +34,15 @@ def _local_scratch() -> str:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. A machine-local folder is used only where
-    that setting is absent, which is the case of a single-machine test session.
+    The folder comes from ``spark.checkpoint.dir``. Where that is absent, a session on a single
+    machine uses a folder of its own; on a cluster, where executors would each write to their own
+    disk, it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_scratch()
     return f"{root.rstrip('/')}/tarnkeep-{uuid.uuid4().hex}"
 
 

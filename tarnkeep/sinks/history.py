@@ -11,6 +11,7 @@ comparison and the load join bucket by bucket and the history is never shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -108,7 +109,8 @@ class HistoryTable:
         schema, _, prefix = self.name.rpartition(".")
         within = f"IN {schema} " if schema else ""
         tables = spark.sql(f"SHOW TABLES {within}LIKE '{prefix}_run_*'").collect()
-        return max((int(t.tableName.rpartition("_")[2]) for t in tables), default=0)
+        runs = (re.fullmatch(re.escape(prefix) + r"_run_(\d+)", t.tableName, re.I) for t in tables)
+        return max((int(m[1]) for m in runs if m), default=0)
 
     def stage(self, staged: DataFrame) -> DataFrame:
         table = f"{self.name}_staged"

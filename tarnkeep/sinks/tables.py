@@ -70,9 +70,11 @@ def ensure_table(
 def write_report(
     report: DataFrame, target: str, run_date: date | str | None = None, fmt: str = "json"
 ) -> None:
-    """Append a check report, one folder per run date."""
+    """Write a check report to the folder of its run date; a repeated date replaces its report."""
     dated = report.withColumn("run_date", date_literal(run_date))
-    dated.write.format(fmt).mode("append").partitionBy("run_date").save(target)
+    dated.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run_date"
+    ).save(target)
 
 
 def close_current(

@@ -116,7 +116,7 @@ class RestPagesReader(DataSourceReader):
         last = limit + (int(self.options["start_page"]) - 1 if numbered else 0)
         for page, body, empty in pages(feed):
             if limit and page > last:
-                break
+                raise ValueError(f"{feed.url}: more than {limit} pages")
             yield feed.url, page, body, empty
 
     def _get(self, url: str) -> tuple[str, Any, bool]:
@@ -140,7 +140,9 @@ class RestPagesReader(DataSourceReader):
 
     def _linked(self, feed: Feed):
         url, page, visited = feed.url, 0, set()
-        while url and url not in visited:
+        while url:
+            if url in visited:
+                raise ValueError(f"{feed.url}: the next link {url} was read before")
             visited.add(url)
             page += 1
             body, document, empty = self._get(url)
@@ -150,7 +152,9 @@ class RestPagesReader(DataSourceReader):
 
     def _tokens(self, feed: Feed):
         token, page, used = None, 0, set()
-        while token not in used:
+        while True:
+            if token in used:
+                raise ValueError(f"{feed.url}: the next token {token} was used before")
             used.add(token)
             page += 1
             params = {self.options["page_size_param"]: self.options["page_size"]}

@@ -488,10 +488,6 @@ ORACLES: dict[str, str] = {
         epoch_us(ts) AS ts_micros FROM events""",
     "json_props": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
         FROM events""",
-    "rest_pages": _EVENTS,
-    "rest_next_link": _EVENTS,
-    "rest_token": _EVENTS,
-    "rest_single": _EVENTS,
     "csv_contract": f"WITH {ORDERS_TEXT} SELECT * FROM orders_text",
     "medallion_job": f"WITH {ORDERS_TEXT} {_SILVER_TEXT}",
     "medallion_log": f"""WITH {ORDERS_TEXT}, counted AS (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from functools import wraps
 
@@ -22,8 +21,7 @@ from tarnkeep.plans.tables import (
 from tarnkeep.session import materialize, scratch_dir, tune
 from tarnkeep.sinks.history import HistoryFolder, HistoryTable
 from tarnkeep.sinks.tables import ensure_schema
-from tarnkeep.sources import files, rest
-from tarnkeep.suite.feeds import event_count, events_api, feed_urls
+from tarnkeep.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -507,46 +505,6 @@ def json_props(spark, sf):
     return items.select("event_id", F.try_variant_get("item", "$.k", "bigint").alias("k"))
 
 
-_PAGING = {"items_json_path": "data.items", "next_link_json_path": "links.next"}
-
-
-def _rest(spark, sf, options):
-    pages = rest.read_pages(spark, _PAGING | options, events_api(sf))
-    return _events_of(rest.page_items(pages, _PAGING | options))
-
-
-@query
-def rest_pages(spark, sf):
-    """Numbered pages, dealt out over tasks. Landed first, since the end is found from all."""
-    target = scratch_dir(spark)
-    options = _PAGING | {
-        "url": f"api://events/0/{event_count(sf)}", "pagination": "PageNumber", "page_size": 1000,
-    }
-    jobs.rest_ingest_job(spark, options, target, _EVENT, events_api(sf))
-    return files.read_path(spark, target).select(
-        "event_id", "user_id", "event_type", "value", F.col("props")["k"].alias("k")
-    )
-
-
-@query
-def rest_next_link(spark, sf):
-    urls = json.dumps(feed_urls(sf, 5000))
-    return _rest(spark, sf, {"urls": urls, "pagination": "NextLink", "page_size": 1000})
-
-
-@query
-def rest_token(spark, sf):
-    urls = json.dumps(feed_urls(sf, 5000))
-    return _rest(spark, sf, {"urls": urls, "pagination": "Token", "page_size": 1000})
-
-
-@query
-def rest_single(spark, sf):
-    """Endpoints that answer with everything they have in one body."""
-    urls = json.dumps(feed_urls(sf, 1000))
-    return _rest(spark, sf, {"urls": urls, "pagination": "None", "page_size": 1000})
-
-
 # ---- whole jobs, through files and tables ----
 
 

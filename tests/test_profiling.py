@@ -45,11 +45,9 @@ def test_ladders(df, ladder, expected):
     assert {r["column"]: r["sql_type"] for r in profile(df, ladder).collect()} == expected
 
 
-def test_one_scan_and_sampling(df):
+def test_one_scan(df):
     profiled = profile(df)
     assert plans.count(profiled, "Exchange") == 1
-    sampled = profile(df, sample_rows=1).filter("column = 'words'").first()
-    assert (sampled["rows"], sampled["sql_type"]) == (1, "BIT")
 
 
 def test_definitions_can_be_run(spark, df):

@@ -66,16 +66,20 @@ def test_numbered_pages_stop_at_the_first_empty_one(spark, tasks):
 def test_next_links(spark):
     dotted = {"items_json_path": "data.rows", "next_link_json_path": "links.next"}
     assert ingest(spark, url="http://linked/", pagination="NextLink", **dotted) == [1, 2, 3]
-    assert ingest(spark, url="http://linked/", pagination="NextLink", max_pages=2, **dotted) == [1, 2]
+    assert ingest(spark, url="http://linked/", pagination="NextLink", max_pages=3, **dotted) == [1, 2, 3]
+    with pytest.raises(Exception, match="more than 2 pages"):
+        ingest(spark, url="http://linked/", pagination="NextLink", max_pages=2, **dotted)
     rows = {"items_json_path": "rows"}
     assert ingest(spark, url="http://plainly-linked/", pagination="NextLink", **rows) == [1, 1]
-    assert ingest(spark, url="http://circular/", pagination="NextLink", **rows) == [1, 1]
+    with pytest.raises(Exception, match="was read before"):
+        ingest(spark, url="http://circular/", pagination="NextLink", **rows)
 
 
 def test_tokens(spark):
     rows = {"items_json_path": "rows"}
     assert ingest(spark, url="http://tokens/", pagination="Token", **rows) == [0, 1, 2, 3]
-    assert ingest(spark, url="http://stuck/", pagination="Token", **rows) == [1, 1]
+    with pytest.raises(Exception, match="was used before"):
+        ingest(spark, url="http://stuck/", pagination="Token", **rows)
 
 
 def test_appends_and_infers(spark):
