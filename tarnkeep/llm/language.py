@@ -54,13 +54,13 @@ class Languages:
         self.languages = languages
         self.prior = np.log(np.array(documents, dtype=float) / max(1, sum(documents)))
         self.known = {w: i for i, w in enumerate(known)}
-        counts = np.array(list(known.values()), dtype=float).reshape(-1, len(languages))
+        counts = np.array(list(known.values()), dtype=float).reshape(len(known), len(languages))
         self.words = self._log(counts, totals)
         self.keys, self.grams = {}, {}
         for size, table in tables.items():
             keys = np.array(list(table), dtype=np.uint64)
             order = np.argsort(keys)
-            counts = np.array(list(table.values()), dtype=float).reshape(-1, len(languages))
+            counts = np.array(list(table.values()), dtype=float).reshape(len(table), len(languages))
             self.keys[size] = keys[order]
             self.grams[size] = self._log(counts[order], gram_totals[size])
         # what an n-gram known nowhere says: nothing

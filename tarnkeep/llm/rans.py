@@ -99,6 +99,8 @@ def decode_block(
         x = counts[p] * (x >> scale) + slot - starts[p]
         low = np.flatnonzero(x < lowest)
         if len(low):
+            if at + len(low) > len(words):
+                raise ValueError("a payload ends early: no checksum can hold")
             # within a step the encoder wrote its lanes in ascending order, read here backwards
             x[low] = (x[low] << shift) | words[at : at + len(low)][::-1]
             at += len(low)
