@@ -158,6 +158,71 @@ def test_suffix_tree_is_a_distribution():
         assert abs(p.sum() - roots.sum()) < 0.01  # the rest is for words never seen
 
 
+def test_rare_words_are_contexts_like_frequent_ones(spark):
+    """States of rare words, by joins, are those that the tree in memory has for the same counts."""
+    rng = random.Random(4)
+    common_words = [b"", b"a", b"b", b"c"]
+    whole = suffix_tree.Vocabulary([*common_words, b"r", b"s", b"t"])
+    lines = []
+    for _ in range(300):
+        line = [rng.choice([b"a", b"b", b"c"]) for _ in range(4)]
+        line += {0: [b"r", b"a"], 1: [b"s", rng.choice([b"a", b"b", b"c"])], 2: [b"t"]}[rng.randrange(3)]
+        lines.append(b" ".join(line))
+    _, numbers, begins = whole.numbers(lines)
+    counts = np.bincount(numbers, minlength=7)
+    keys, n = np.unique(whole.successions(numbers, begins)[0], return_counts=True)
+    listed = (n >= 2) & (keys % whole.size < 4)
+    none = np.zeros(0, dtype=np.int64)
+    tree = suffix_tree.SuffixTree(
+        whole, counts, len(lines), int(counts.sum()), 7,
+        {1: (keys[listed], n[listed]), 2: (none, none)},
+    )
+    context, weight, pairs, values = tree.states[1]
+    want = {
+        whole_word: (round(float(w), 9), {
+            int(k % whole.size): round(float(v), 9)
+            for k, v in zip(pairs, values, strict=True) if k // whole.size == c
+        })
+        for c, w in zip(context, weight, strict=True)
+        if (whole_word := [*common_words, b"r", b"s", b"t", b"", b""][c]) in (b"r", b"s", b"t")
+    }
+    assert want and b"r" in want
+    follows = np.append(numbers, 0)[1:]
+    places = spark.createDataFrame(
+        [(bytearray(b"rst"[i - 4 : i - 3]), int(f), False)
+         for i, f in zip(numbers.tolist(), follows.tolist(), strict=True) if i >= 4]
+        + [(bytearray(b"r"), 1, True)] * 5,  # held out: not learned from
+        "word binary, next int, held_out boolean",
+    )
+    words = spark.createDataFrame(
+        [(bytearray(w), int(counts[whole.number[w]])) for w in (b"r", b"s", b"t")],
+        "word binary, c long",
+    )
+    roots = np.append(tree.root[:4], [0.0, 0.0])
+    got = {
+        bytes(r.word): (round(r.weight, 9), {k: round(v, 9) for k, v in r.after.items()})
+        for r in suffix_tree.rare_states(places, words, roots).collect()
+    }
+    assert got == want
+
+
+def test_rare_words_contribute_to_scores(spark):
+    """What always follows a rare word is likely after it, whatever the share of frequent words."""
+    rng = random.Random(6)
+    plain = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(i, f"{plain(30)} q{i % 5} h {plain(30)}") for i in range(120)]
+    rows += [(200 + i, t) for i, t in enumerate([None, "", "q1", "q1 h", "q1 a", "zz h", "q1 q2"])]
+    docs = make(spark, rows)
+    got = {r.doc_id: r for r in suffix_tree.score(docs, frequent=0.02).collect()}
+    hot = {r.doc_id: r for r in suffix_tree.score(docs, frequent=1e-9).collect()}
+    for i, r in got.items():
+        assert r.score <= 1e-9 and (r.n_known, r.n_tokens) == (hot[i].n_known, hot[i].n_tokens)
+        assert abs(r.base_score - hot[i].base_score) < 1e-6
+    gain = lambda i: got[i].score - got[i].base_score
+    assert gain(203) > 0.5 > gain(204)
+    assert gain(3) > 0.3
+
+
 def test_languages(spark):
     rng = random.Random(3)
     alphabets = {"xx": ["lor", "em", "ip"], "yy": ["züg", "ähn", "ßo"]}
