@@ -44,9 +44,12 @@ def _distinct_text(field: T.StructField) -> Column:
     return F.to_json(F.struct(column), {"ignoreNullFields": "false"})
 
 
-def column_cardinality(df: DataFrame) -> DataFrame:
+def column_cardinality(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values of every column, null being one value: one row per column.
 
+    The approximate form keeps one sketch per column instead of a row per distinct value, for
+    tables whose key-like columns would send all their values through the shuffle.
+
     Values are turned into (column, text) pairs, so the shuffle carries one short pair per
     distinct value and task. A count(DISTINCT) per column would instead widen every row by
     every column.
@@ -54,17 +57,20 @@ def column_cardinality(df: DataFrame) -> DataFrame:
     pairs = [
         F.struct(
             F.lit(i).alias("position"),
-            F.lit(f.name).alias("column"),
             _distinct_text(f).alias("value"),
         )
         for i, f in enumerate(df.schema.fields)
     ]
     long = df.select(F.inline(F.array(*pairs)))
-    return (
-        long.distinct()
-        .groupBy("position", "column").agg(F.count(F.lit(1)).alias("distinct_values"))
-        .drop("position")
-    )
+    if approximate:
+        distinct = F.approx_count_distinct("value") + F.max(F.col("value").isNull().cast("bigint"))
+        counted = long.groupBy("position").agg(distinct.alias("distinct_values"))
+    else:
+        counted = long.distinct().groupBy("position").agg(
+            F.count(F.lit(1)).alias("distinct_values")
+        )
+    names = F.array(*[F.lit(f.name) for f in df.schema.fields])
+    return counted.select(names[F.col("position")].alias("column"), "distinct_values")
 
 
 def table_counts(spark: SparkSession, tables: Sequence[str]) -> DataFrame:

@@ -101,8 +101,13 @@ def scd2_advance(
     old = current.select(*keys, F.struct(*columns).alias("__old"))
     new = staged.select(*keys, F.struct(*columns).alias("__new"))
 
+    # a load dated before the version it closes would end that version before it began
+    early = F.raise_error(F.concat(
+        F.lit("load dated before the current version's start: "), F.col("__old")[START].cast("string")
+    )).cast("date")
+    end = F.when(F.col("__old")[START] > date_literal(as_of), early).otherwise(date_literal(as_of))
     closed = F.struct(*[
-        date_literal(as_of).alias(END) if c == END
+        end.alias(END) if c == END
         else F.lit(False).alias(CURRENT) if c == CURRENT
         else F.col("__old")[c].alias(c)
         for c in columns

@@ -15,6 +15,7 @@ from tarnkeep.operators.counts import (
     CONTROL, latest_entries, log_row_count, table_counts,
 )
 from tarnkeep.operators.dedup import distinct_rows, first_per_key
+from tarnkeep.operators.profiling import ddl, profile_tables
 from tarnkeep.operators.quality import run_config
 from tarnkeep.operators.records import items_to_table
 from tarnkeep.operators.rules import Rule, annotate, order_rules
@@ -23,7 +24,7 @@ from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
 from tarnkeep.session import materialize
 from tarnkeep.sinks.history import HistoryStore
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
-from tarnkeep.sources.files import read_csv, read_path, read_table
+from tarnkeep.sources.files import read_csv, read_csv_text, read_path, read_table
 from tarnkeep.sources.rest import Fetch, http_fetch, page_items, read_pages
 
 # How the order keys are named from the clean table on.
@@ -203,6 +204,21 @@ def quality_job(
     return report
 
 
+def definitions_job(
+    spark: SparkSession,
+    sources: Mapping[str, str | list[str]],
+    schema: str,
+    ladder: str = "a",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """CSV file sets by table name into the statements that create their tables.
+
+    All values of all files are profiled, in one aggregation.
+    """
+    tables = {name: read_csv_text(spark, path, options) for name, path in sources.items()}
+    return ddl(profile_tables(tables, ladder), schema)
+
+
 def validation_counts(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     """Row counts after a run."""
     return table_counts(spark, tables)

@@ -250,11 +250,14 @@ _DATES = (
 )
 
 
-def _profile(integer: str, number: str, words: str) -> str:
+def _profile(
+    integer: str, number: str, words: str,
+    sources=("orders", "lineitem", "documents", "events", "labels"),
+) -> str:
     tables = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, \"column\", value FROM (UNPIVOT (SELECT "
         f"CAST(COLUMNS(*) AS VARCHAR) FROM {t}) ON COLUMNS(*) INTO NAME \"column\" VALUE value)"
-        for t in ("orders", "lineitem", "documents", "events", "labels")
+        for t in sources
     )
     return f"""
 tests AS (
@@ -277,9 +280,10 @@ tests AS (
 )"""
 
 
-_PROFILE_A = _profile(
+_LADDER_A = (
     "BIGINT", r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", "'true', 'false', '0', '1'"
 )
+_PROFILE_A = _profile(*_LADDER_A)
 _PROFILE_B = _profile(
     "INT", r"[+-]?(\d[\d,]*\.?\d*|\.\d+)([eE][+-]?\d+)?",
     "'true', 'false', '0', '1', 'yes', 'no'",
@@ -524,10 +528,27 @@ _POSITIONS = ", ".join(
     f"('{t}', '{c}', {i})" for t, columns in _TABLE_COLUMNS.items() for i, c in enumerate(columns)
 )
 _DDL_CASE = " ".join(f"WHEN '{have}' THEN '{want}'" for have, want in _DDL_TYPES.items())
-ORACLES["profile_ddl"] = f"""WITH {_PROFILE_A},
-positions(table_name, "column", position) AS (VALUES {_POSITIONS})
+
+
+def _definitions(profiles: str, positions: str) -> str:
+    return f"""WITH {profiles},
+positions(table_name, "column", position) AS (VALUES {positions})
 SELECT table_name, 'CREATE SCHEMA IF NOT EXISTS `landing`' AS schema_ddl,
   'CREATE TABLE `landing`.`' || table_name || '` (' || chr(10) || '  ' || string_agg(
     '`' || "column" || '` ' || CASE sql_type {_DDL_CASE} ELSE 'STRING' END,
     ',' || chr(10) || '  ' ORDER BY position) || chr(10) || ')' AS table_ddl
 FROM profiles JOIN positions USING (table_name, "column") GROUP BY table_name"""
+
+
+ORACLES["profile_ddl"] = _definitions(_PROFILE_A, _POSITIONS)
+_MIXED = """mixed_orders AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS padded,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) END AS mixed,
+    CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS blanks,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE '0' END AS flag FROM orders
+), some_labels AS (SELECT doc_id, quality FROM labels), """
+ORACLES["csv_definitions"] = _definitions(
+    _MIXED + _profile(*_LADDER_A, sources=("mixed_orders", "some_labels")),
+    "('mixed_orders', 'padded', 0), ('mixed_orders', 'mixed', 1), ('mixed_orders', 'blanks', 2),"
+    " ('mixed_orders', 'flag', 3), ('some_labels', 'doc_id', 0), ('some_labels', 'quality', 1)",
+)

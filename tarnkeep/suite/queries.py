@@ -466,6 +466,21 @@ def profile_ddl(spark, sf):
     return profiling.ddl(profiling.profile_tables(_profiled(spark, sf), "a"), "landing")
 
 
+@query
+def csv_definitions(spark, sf):
+    """CSV with leading zeros, mixed types and blanks into table definitions."""
+    key = F.col("o_orderkey")
+    mixed = table(spark, sf, "orders").select(
+        F.lpad(key.cast("string"), 12, "0").alias("padded"),
+        F.when(key % 7 == 0, "n/a").otherwise(key.cast("string")).alias("mixed"),
+        F.when(key % 3 != 0, key.cast("string")).alias("blanks"),
+        F.when(key % 2 == 0, "true").otherwise("0").alias("flag"),
+    )
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    sources = {"mixed_orders": _csv(mixed), "some_labels": _csv(labels)}
+    return jobs.definitions_job(spark, sources, "landing")
+
+
 # ---- API records ----
 
 _EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props MAP<STRING, BIGINT>"

@@ -123,6 +123,13 @@ def test_cardinality_counts_null_once(spark):
     assert {tuple(r) for r in category_counts(df, "s").collect()} == {("a", 1), (None, 2)}
 
 
+def test_approximate_cardinality(spark):
+    df = spark.range(2000).selectExpr("id", "id % 3 AS few", "CAST(NULL AS STRING) AS none")
+    got = {r.column: r.distinct_values for r in column_cardinality(df, approximate=True).collect()}
+    assert (got["few"], got["none"]) == (3, 1) and abs(got["id"] - 2000) < 300
+    assert column_cardinality(df.limit(0), approximate=True).collect() == []
+
+
 def test_row_count_log(spark, df):
     ensure_schema(spark, "logs", scratch_dir(spark))
     ensure_table(spark, "logs.control", CONTROL)

@@ -183,3 +183,12 @@ def test_rejects_are_kept(spark):
         date(2024, 1, 1), rejects_path=rejects,
     )
     assert [r.a for r in spark.read.parquet(rejects).collect()] == ["lost"]
+
+
+def test_a_load_dated_before_the_current_version_fails(spark):
+    history = scd2_apply(None, stage(rows(spark, (1, "x", None), (2, "y", None)), DAYS[2]), ["k"])
+    same = stage(rows(spark, (1, "x", None)), DAYS[0])
+    assert len(versions(scd2_apply(history, same, ["k"], DAYS[0]))) == 2
+    changed = stage(rows(spark, (1, "X", None)), DAYS[0])
+    with pytest.raises(Exception, match="dated before"):
+        scd2_apply(history, changed, ["k"], DAYS[0]).collect()
