@@ -39,6 +39,10 @@ _EDGES = bytes(c for c in range(128) if not chr(c).isalpha())
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def words(text: str) -> list[bytes]:
     stripped = (w.strip(_EDGES) for w in text.lower().encode("utf-8", "surrogatepass").split())
     return [w for w in stripped if w]
@@ -94,7 +98,7 @@ class Languages:
         if not self.languages:
             return out
         counted = [
-            Counter(words(t)) if isinstance(t, str) and _LETTER.search(t) else None for t in texts
+            Counter(words(t)) if isinstance(t, str) and has_letter(t) else None for t in texts
         ]
         unseen = sorted({w for c in counted if c for w in c if w not in self.known})
         place = {w: i for i, w in enumerate(unseen)}

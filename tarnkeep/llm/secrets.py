@@ -1,7 +1,7 @@
 """Secret scans: stated patterns, and formats learned from what they find by grammar inference.
 
 The patterns label credentials. From a bounded sample of them (``SAMPLE`` values of each kind, those
-with the smallest hashes over the whole corpus) a prefix tree per kind is built and its states are
+with the smallest hashes over the whole corpus, up to ``LEARNED`` bytes of each) a prefix tree per kind is built and its states are
 merged while their outgoing frequencies agree within a Hoeffding bound (ALERGIA), which leaves a
 probabilistic automaton. Every other run of credential characters in every text is scored by each
 automaton; a run becomes a span of kind ``format`` if its likelihood per character is at least
@@ -40,6 +40,10 @@ _RUN = np.isin(np.arange(256), np.frombuffer(_ALNUM + b"+/_=-", np.uint8))
 
 #: Credentials of each kind, and ordinary runs, that the automata are learned from.
 SAMPLE = 400
+#: Bytes of a sampled value that are learned from; scoring always takes whole values.
+LEARNED = 4096
+#: Bytes up to which a scored value is remembered by its task.
+REMEMBERED = 256
 #: The shortest run that is scored.
 SHORTEST = 20
 #: Merge test: a lower value merges more.
@@ -79,7 +83,13 @@ def base_spans(text: bytes) -> list[tuple[int, int, str, int]]:
 def other_runs(text: bytes, spans: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
     """Runs of credential characters that no base span touches."""
     runs = _runs(np.frombuffer(text, np.uint8), _RUN, SHORTEST)
-    return [r for r in runs if not any(s < r[1] and r[0] < e for s, e, *_ in spans)]
+    if not runs or not spans:
+        return runs
+    touched = np.zeros(len(text) + 1, dtype=np.int64)
+    for s, e, *_ in spans:
+        touched[s + 1 : e + 1] = 1
+    before = np.cumsum(touched)
+    return [(s, e) for s, e in runs if before[s] == before[e]]
 
 
 # ---- characters as symbols ----
@@ -217,7 +227,7 @@ class Formats:
                 (mean := self._mean(a, value)) >= least and mean > plain
                 for a, least in self.automata.values()
             )
-            if len(self._seen) < 100_000:
+            if len(value) <= REMEMBERED and len(self._seen) < 100_000:
                 self._seen[value] = got
         return got
 
@@ -240,10 +250,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
             for text in as_bytes(frame["text"]):
                 spans = base_spans(text)
                 for _, end, kind, value in spans:
-                    v = text[value:end][:4096]
+                    v = text[value:end][:LEARNED]
                     kept[kind][v] = xxhash.xxh64_intdigest(v) >> 1
                 for s, e in other_runs(text, spans):
-                    v = text[s:e][:4096]
+                    v = text[s:e][:LEARNED]
                     kept["ordinary"][v] = xxhash.xxh64_intdigest(v) >> 1
             trim()
         yield pd.DataFrame(
@@ -276,10 +286,11 @@ def all_spans(text: bytes, formats: Formats) -> list[tuple[int, int, str, int]]:
 
 def _points(text: bytes, spans) -> list[tuple[str, int, int]]:
     """Spans in code points."""
-    if text.isascii():
+    if not spans or text.isascii():
         return [(k, s, e) for s, e, k, _ in spans]
-    points = lambda at: len(text[:at].decode("utf-8", "surrogatepass"))
-    return [(k, points(s), points(e)) for s, e, k, _ in spans]
+    begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+    before = np.append(0, np.cumsum(begins))
+    return [(k, int(before[s]), int(before[e])) for s, e, k, _ in spans]
 
 
 def find_secrets(docs: DataFrame, formats: Formats | None = None) -> DataFrame:

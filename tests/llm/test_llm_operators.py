@@ -482,3 +482,21 @@ def test_merkle_branches_locate_edits():
     assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(a)) == 1
     assert 0.5 < merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) < 1
     assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("x")) == 0
+
+
+def test_span_places_in_code_points_and_untouched_runs():
+    rng = random.Random(3)
+    for _ in range(200):
+        parts = ["é ", "ab" * 12, " token=Zz9+/zz9 ", "AKIA" + "Q7" * 9, "=", "ß", "z" * 25, "\n", "0f" * 15]
+        text = "".join(rng.choice(parts) for _ in range(30)).encode()
+        spans = secrets.base_spans(text)
+        got = secrets._points(text, spans)
+        assert got == [(k, len(text[:s].decode()), len(text[:e].decode())) for s, e, k, _ in spans]
+        runs = secrets._runs(np.frombuffer(text, np.uint8), secrets._RUN, secrets.SHORTEST)
+        free = [r for r in runs if not any(s < r[1] and r[0] < e for s, e, *_ in spans)]
+        assert secrets.other_runs(text, spans) == free
+
+
+@pytest.mark.parametrize("text, letter", [("², ½", False), ("12 é", True), ("_", False), ("日本", True)])
+def test_what_a_letter_is(text, letter):
+    assert language.has_letter(text) == letter
