@@ -48,28 +48,58 @@ def _body_items(body: Column, items_path: str | None) -> Column:
     )
 
 
+def _broken(body: Column) -> Column:
+    """A body that is there but can't be read: no JSON, a repeated key, or beyond a variant's size."""
+    return body.isNotNull() & F.try_parse_json(body).isNull()
+
+
 def extract_items(
-    df: DataFrame, body: str = "body", items_path: str | None = "items", out: str = "item"
+    df: DataFrame,
+    body: str = "body",
+    items_path: str | None = "items",
+    out: str = "item",
+    on_broken: str = "raise",
 ) -> DataFrame:
-    """One row per record of each response body; the other columns are repeated."""
+    """One row per record of each response body; the other columns are repeated.
+
+    A body that can't be read fails the query. With ``on_broken="skip"`` it gives no record;
+    :func:`body_rejects` has these bodies. A null body has no records.
+    """
     kept = [c for c in df.columns if c != body]
-    return df.select(*kept, F.explode(_body_items(F.col(body), items_path)).alias(out))
+    text = F.col(body)
+    items = _body_items(text, items_path)
+    if on_broken == "raise":
+        failure = F.raise_error(F.concat(F.lit("body can't be read: "), F.left(text, F.lit(100))))
+        items = F.when(_broken(text), failure.cast("array<variant>")).otherwise(items)
+    elif on_broken != "skip":
+        raise ValueError(f"on_broken is raise or skip, not {on_broken}")
+    return df.select(*kept, F.explode(items).alias(out))
+
+
+def body_rejects(df: DataFrame, body: str = "body") -> DataFrame:
+    """The rows whose body can't be read, as they are."""
+    return df.filter(_broken(F.col(body)))
 
 
 # Kinds of JSON values and the column types of those that need no closer look.
 _SCALARS = {
     "string": T.StringType(),
     "whole": T.LongType(),
+    "large": T.DecimalType(38, 0),
     "fraction": T.DoubleType(),
     "boolean": T.BooleanType(),
 }
+#: Whole numbers that need more digits than a BIGINT has; the least digits that some of them have.
+_LARGE = 19
 
 
 def _kind(value: Column) -> Column:
     shape = F.schema_of_variant(value)
+    digits = F.regexp_extract(shape, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
     return (
         F.when(shape == "STRING", F.lit("string"))
         .when(shape == "BIGINT", F.lit("whole"))
+        .when(digits >= _LARGE, F.lit("large"))
         .when(shape == "BOOLEAN", F.lit("boolean"))
         .when(shape == "VOID", F.lit("null"))
         .when(shape.startswith("OBJECT"), F.lit("object"))
@@ -87,6 +117,8 @@ def _spark_type(data_type: T.DataType) -> T.DataType | None:
         return None
     if isinstance(data_type, T.NullType):
         return T.StringType()
+    if isinstance(data_type, T.DecimalType) and not data_type.scale and data_type.precision >= _LARGE:
+        return T.DecimalType(38, 0)
     if isinstance(data_type, (T.DecimalType, T.FloatType)):
         return T.DoubleType()
     if isinstance(data_type, T.ArrayType):
@@ -111,6 +143,8 @@ def _merged_type(kinds: set[str], shape: str) -> T.DataType | None:
     if kinds <= set(_SCALARS):
         if "string" in kinds:
             return T.StringType()
+        if kinds == {"whole", "large"}:
+            kinds = {"large"}
         return _SCALARS[kinds.pop()] if len(kinds) == 1 else None
     if len(kinds) > 1:
         return None
@@ -121,8 +155,9 @@ def _merged_type(kinds: set[str], shape: str) -> T.DataType | None:
 def infer_item_schema(df: DataFrame, item: str = "item") -> T.StructType:
     """The columns of the records, sorted by name; one aggregated row per key reaches the driver.
 
-    Whole and fractional numbers do not merge, nor do scalars and nested values. If one key's
-    values cannot share a type, every column is text.
+    Whole and fractional numbers do not merge, nor do scalars and nested values. Whole numbers
+    beyond BIGINT, up to 38 digits, make a DECIMAL column. If one key's values cannot share a
+    type, every column is text.
     """
     entries = F.map_entries(F.try_variant_get(F.col(item), "$", "map<string,variant>"))
     keys = (

@@ -21,7 +21,7 @@ from tarnkeep.operators.records import items_to_table
 from tarnkeep.operators.rules import Rule, annotate, order_rules
 from tarnkeep.operators.scd2 import scd2_advance, scd2_changes, scd2_rejects, scd2_stage
 from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
-from tarnkeep.session import materialize
+from tarnkeep.session import materialize, temporary
 from tarnkeep.sinks.history import HistoryStore
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
 from tarnkeep.sources.files import read_csv, read_csv_text, read_path, read_table
@@ -31,6 +31,8 @@ from tarnkeep.sources.rest import Fetch, http_fetch, page_items, read_pages
 CLEAN_NAMES = {"order_id": "orderid", "customer_id": "customerid"}
 LOAD_TIME = "Load_Datetime"
 
+MALFORMED = "malformed_line"
+
 # stands in for a null in the row hash, so that a value moving between columns is noticed
 NULL_TOKEN = "\x00"
 
@@ -65,13 +67,14 @@ def medallion_job(
     contract: Contract = ORDERS,
     complete: Sequence[str] | None = None,
     as_of: datetime | str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """CSV to bronze, clean and silver tables; logs the silver row count and returns the entry.
 
     Each layer reads the table before it, so the text is parsed once and the deduplication runs
     once. ``appended`` names a table that gains the clean rows of every run.
     """
-    write_table(read_csv(spark, source, contract), tables.bronze)
+    write_table(read_csv(spark, source, contract, options), tables.bronze)
     write_table(clean_orders(read_table(spark, tables.bronze), complete, as_of), tables.clean)
     clean = read_table(spark, tables.clean)
     write_table(clean.drop(LOAD_TIME), tables.silver)
@@ -99,28 +102,32 @@ def cleanse_orders_job(
     keys: Sequence[str] = ORDER_DEDUP_KEYS,
     as_of: datetime | str | None = None,
     fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> CleansingCounts:
     """CSV to a clean and a bad table; counts are read back from what was written.
 
     The text is read and judged once, into a written table split by the verdict, and each output
-    opens only its half.
+    opens only its half; that table is deleted at the end. Lines with more or fewer fields than
+    the header are bad rows of their own rule, and kept whole in ``malformed_line``.
     """
-    judged = annotate(read_csv(spark, source, contract), order_rules() if rules is None else rules)
-    judged = materialize(
-        judged.withColumn("verdict", F.when(F.size("violations") == 0, "good").otherwise("bad")),
-        partition_by=["verdict"],
-    )
-    good = judged.filter("verdict = 'good'").select(*contract.names)
-    bad = judged.filter("verdict = 'bad'").select(*contract.names, "violations")
-    write_path(
-        with_audit(first_per_key(good, keys), "ingestion_timestamp", as_of), clean_path, fmt=fmt
-    )
-    write_path(with_audit(bad, "bad_record_timestamp", as_of), bad_path, fmt=fmt)
-    return CleansingCounts(
-        judged.count(),
-        read_path(spark, clean_path, fmt).count(),
-        read_path(spark, bad_path, fmt).count(),
+    rows = read_csv(spark, source, contract, options, MALFORMED)
+    rules = order_rules() if rules is None else rules
+    judged = annotate(rows, [Rule(MALFORMED, f"{MALFORMED} IS NOT NULL"), *rules])
+    judged = judged.withColumn(
+        "verdict", F.when(F.size("violations") == 0, "good").otherwise("bad")
     )
+    with temporary(judged, partition_by=["verdict"]) as judged:
+        good = judged.filter("verdict = 'good'").select(*contract.names)
+        bad = judged.filter("verdict = 'bad'").select(*contract.names, MALFORMED, "violations")
+        write_path(
+            with_audit(first_per_key(good, keys), "ingestion_timestamp", as_of), clean_path, fmt=fmt
+        )
+        write_path(with_audit(bad, "bad_record_timestamp", as_of), bad_path, fmt=fmt)
+        return CleansingCounts(
+            judged.count(),
+            read_path(spark, clean_path, fmt).count(),
+            read_path(spark, bad_path, fmt).count(),
+        )
 
 
 def load_history(
@@ -163,10 +170,11 @@ def history_job(
     store: HistoryStore,
     spec: HistorySpec,
     as_of: date | str | None = None,
+    csv_options: Mapping[str, str] | None = None,
     **options: Any,
 ) -> int:
     """CSV file set into a history."""
-    rows = read_csv(spark, source, spec.contract)
+    rows = read_csv(spark, source, spec.contract, csv_options)
     return load_history(spark, rows, store, spec.keys, spec.tracked, as_of, **options)
 
 
@@ -183,12 +191,14 @@ def rest_ingest_job(
     The bodies are landed first, so every page is asked for once, whatever happens afterwards;
     then their records are, so that bodies are parsed once.
     """
-    landed = materialize(read_pages(spark, options, fetch))
-    items = materialize(page_items(landed, options).select("item"))
-    count = items.count()
-    if count:
-        write_path(items_to_table(items, schema), target, "append", fmt)
-    return count
+    with (
+        temporary(read_pages(spark, options, fetch)) as landed,
+        temporary(page_items(landed, options).select("item")) as items,
+    ):
+        count = items.count()
+        if count:
+            write_path(items_to_table(items, schema), target, "append", fmt)
+        return count
 
 
 def quality_job(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,17 +48,34 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tarnkeep-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to shared scratch and read it back.
+def materialize(
+    df: DataFrame, partition_by: list[str] | None = None, path: str | None = None
+) -> DataFrame:
+    """Write ``df`` to shared scratch (or a given new folder) and read it back.
 
     Used where two outputs need the same intermediate result. A written table survives the
     loss of executors and is read with column pruning, which a cached block is not.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark)
+    path = path or scratch_dir(spark)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     # the schema is known: reading it back needs no footer sampling, also when no row was written
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary(df: DataFrame, partition_by: list[str] | None = None) -> Iterator[DataFrame]:
+    """As :func:`materialize`, for a result that nothing needs any longer once the block is left.
+
+    Its folder is deleted then, also when the block fails.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    try:
+        yield materialize(df, partition_by, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

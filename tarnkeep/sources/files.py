@@ -5,24 +5,49 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnkeep.operators.contracts import Contract, apply_contract
 
 
 def read_csv_text(
-    spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    options: Mapping[str, str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """A CSV file set with a header line, every column as text.
 
     Only the header of one file is looked at beforehand; types are never inferred, which would
     cost a second pass over all files. Every file's own header is checked against that first one
     while it is read, so files with another column order fail instead of shifting their values.
+
+    A line with more or fewer fields than the header fails the read too. With ``malformed``, the
+    name of a further column, it is kept instead and that column holds the whole line (null for
+    all others); Spark wants another column read along with it. The option ``mode`` overrides this.
     """
     reader = spark.read.options(header=True, **dict(options or {}))
     names = reader.csv(path).columns
+    if malformed in names:
+        raise ValueError(f"the files have a column {malformed} of their own")
+    # fields are counted only if all columns are parsed
+    reader = reader.option("enforceSchema", False).option("columnPruning", False)
+    if malformed is not None:
+        names = [*names, malformed]
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    elif "mode" not in {o.lower() for o in options or {}}:
+        reader = reader.option("mode", "FAILFAST")
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.option("enforceSchema", False).schema(as_text).csv(path)
+    return reader.schema(as_text).csv(path)
+
+
+def csv_rejects(
+    spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Lines with more or fewer fields than the header: their fields, and ``line`` as a whole."""
+    text = read_csv_text(spark, path, options, "line")
+    return text.filter(F.col("line").isNotNull())
 
 
 def read_csv(
@@ -30,9 +55,16 @@ def read_csv(
     path: str | list[str],
     contract: Contract,
     options: Mapping[str, str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """A CSV file set cast to its contract; a value that cannot be cast is null."""
-    return apply_contract(read_csv_text(spark, path, options), contract)
+    """A CSV file set cast to its contract; a value that cannot be cast is null.
+
+    ``malformed`` as in :func:`read_csv_text`; the column comes last.
+    """
+    text = read_csv_text(spark, path, options, malformed)
+    kept = [c for c in text.columns if c in contract.columns or c == malformed]
+    others = [c for c in text.columns if c not in kept]
+    return apply_contract(text.drop(*others), contract, keep_others=malformed is not None)
 
 
 def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -503,7 +503,19 @@ ORACLES: dict[str, str] = {
     "cleansing_job_clean": f"""WITH {ORDERS_TEXT}, good AS (
           SELECT * FROM orders_text WHERE NOT ({_BAD}))
         SELECT *, {_LOGGED} AS ingestion_timestamp FROM ({_first_per_key("good")})""",
+    "csv_rejects": """SELECT * FROM (
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR)
+          || CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE ',' || o_orderstatus || ',x' END
+          || CASE WHEN o_orderkey % 7 = 0 THEN ',more' ELSE '' END AS line FROM orders)
+        WHERE length(line) - length(replace(line, ',', '')) <> 2""",
+    "json_rejects": """SELECT event_id, body FROM (
+        SELECT event_id, '{"items":[{"id":' || event_id
+          || CASE WHEN event_id % 7 = 0 THEN '' ELSE '}]}' END AS body FROM events)
+        WHERE NOT json_valid(body)""",
+    "json_large_numbers": """SELECT '12345678901234'
+        || lpad(CAST(event_id % 1000000 AS VARCHAR), 6, '0') AS id FROM events""",
     "cleansing_job_bad": f"""WITH {ORDERS_TEXT} SELECT *, {_VIOLATIONS} AS violations,
+        CAST(NULL AS VARCHAR) AS malformed_line,
         {_LOGGED} AS bad_record_timestamp FROM orders_text WHERE {_BAD}""",
     "sales_history_job": _SALES_HISTORY + " SELECT * FROM history",
     "sales_history_tables": _SALES_HISTORY + " SELECT * FROM history",

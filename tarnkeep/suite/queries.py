@@ -512,6 +512,27 @@ def json_items_inferred(spark, sf):
     return inferred.select("*", F.col("props")["k"].alias("k")).drop("props")
 
 
+@query
+def json_rejects(spark, sf):
+    """Bodies cut off before their end are kept apart."""
+    key = F.col("event_id")
+    bodies = table(spark, sf, "events").select("event_id", F.concat(
+        F.lit('{"items":[{"id":'), key.cast("string"), F.when(key % 7 == 0, "").otherwise("}]}"),
+    ).alias("body"))
+    return records.body_rejects(bodies)
+
+
+@query
+def json_large_numbers(spark, sf):
+    """Whole numbers beyond BIGINT keep every digit."""
+    key = F.lpad((F.col("event_id") % 1000000).cast("string"), 6, "0")
+    bodies = table(spark, sf, "events").select(
+        F.concat(F.lit('[{"id":12345678901234'), key, F.lit("}]")).alias("body")
+    )
+    items = materialize(records.extract_items(bodies, "body", "items"))
+    return records.items_to_table(items).select(F.col("id").cast("string").alias("id"))
+
+
 @query
 def json_props(spark, sf):
     """A plain path into a text column: one record per event."""
@@ -542,6 +563,22 @@ def csv_contract(spark, sf):
     return files.read_csv(spark, _csv(orders_like(spark, sf)), ORDERS)
 
 
+@query
+def csv_rejects(spark, sf):
+    """Lines with a field too many or two too few."""
+    key = F.col("o_orderkey")
+    line = F.concat(
+        key.cast("string"),
+        F.when(key % 11 == 0, "").otherwise(F.concat(F.lit(","), "o_orderstatus", F.lit(",x"))),
+        F.when(key % 7 == 0, ",more").otherwise(""),
+    )
+    # the whole line is one column for the writer, whose own separator does not occur in it
+    lines = table(spark, sf, "orders").select(line.alias("id,status,mark"))
+    path = scratch_dir(spark)
+    lines.write.option("header", True).option("sep", ";").csv(path)
+    return files.csv_rejects(spark, path).select("id", "line")
+
+
 @query
 def medallion_job(spark, sf):
     schema = _new_schema(spark, "medallion")

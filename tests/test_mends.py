@@ -1,13 +1,17 @@
 import json
+import os
 
 import pytest
 
 from tarnkeep import session
 from tarnkeep.operators import quality
 from tarnkeep.operators.contracts import Contract, apply_contract
+from tarnkeep.operators.records import body_rejects, extract_items, items_to_table
 from tarnkeep.operators.scd2 import record_hash
+from tarnkeep.plans import jobs
 from tarnkeep.session import scratch_dir
 from tarnkeep.sinks.tables import write_report
+from tarnkeep.sources.files import csv_rejects, read_csv
 
 
 def test_whole_numbers_keep_all_digits(spark):
@@ -56,6 +60,56 @@ def test_a_table_that_is_absent_and_a_configuration_file(spark, tmp_path):
     assert [r["passed"] for r in rows] == [False, True]
 
 
+@pytest.mark.parametrize("body", ["not json", '{"items":[{"id":1}', '[{"a":1,"a":2}]', ""])
+def test_bodies_that_cannot_be_read(spark, body):
+    df = spark.createDataFrame([(1, body), (2, "[5]"), (3, None)], "n int, body string")
+    with pytest.raises(Exception, match="can't be read"):
+        extract_items(df).collect()
+    assert [r["n"] for r in extract_items(df, on_broken="skip").collect()] == [2]
+    assert [tuple(r) for r in body_rejects(df).collect()] == [(1, body)]
+
+
+def test_large_whole_numbers_of_records(spark):
+    def rows(text):
+        items = extract_items(spark.createDataFrame([(text,)], "body string"))
+        return items_to_table(items)
+
+    wide = rows('[{"i":12345678901234567890},{"i":12345678901234567891},{"i":3},'
+                '{"i":100000000000000000000}]')
+    assert dict(wide.dtypes) == {"i": "decimal(38,0)"}
+    assert {int(r.i) for r in wide.collect()} == {
+        12345678901234567890, 12345678901234567891, 3, 10**20,
+    }
+    nested = rows('[{"l":[12345678901234567890, 1]}]')
+    assert dict(nested.dtypes) == {"l": "array<decimal(38,0)>"}
+    assert dict(rows('[{"f":1.0},{"f":2.5}]').dtypes) == {"f": "double"}
+    assert dict(rows(f'[{{"n":{2**63 - 1}}}]').dtypes) == {"n": "bigint"}
+
+
+def test_malformed_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ["a,b", "1,x", "2,y,z", "3", '4,"two', 'lines"', "5,"]
+    (tmp_path / "in" / "part.csv").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "in")
+    contract = Contract({"a": "int", "b": "string"})
+    for pruned in ([], ["a"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_csv(spark, path, contract).select(*pruned or ["*"]).collect()
+    assert read_csv(spark, path, contract, {"mode": "PERMISSIVE"}).count() == 6
+    rejected = {r["line"] for r in csv_rejects(spark, path).collect()}
+    assert {"2,y,z", "3", 'lines"'} <= rejected and not {"1,x", "5,"} & rejected
+
+    bad, clean = str(tmp_path / "bad"), str(tmp_path / "clean")
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")))
+    counts = jobs.cleanse_orders_job(
+        spark, path, clean, bad, contract, [], ["a"], options={"multiLine": "true"}
+    )
+    assert (counts.source, counts.clean, counts.bad) == (5, 3, 2)
+    kept = {r["malformed_line"]: list(r["violations"]) for r in spark.read.parquet(bad).collect()}
+    assert kept == {"2,y,z": ["malformed_line"], "3": ["malformed_line"]}
+    assert set(os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))) == before
+
+
 def test_a_repeated_run_date_replaces_its_report(spark):
     target = scratch_dir(spark)
     report = quality.run_checks(spark.range(3), [{"type": "row_count_gt"}])

@@ -21,7 +21,6 @@ def items(spark, body, path="data.items"):
     ("items", '{"n":"[1]","zz":{"deep":[1]},"yy":[3]}', [3]),
     ("items", '{"n":1}', []),
     ("items", '5', []),
-    ("items", 'not json', []),
     ("items", None, []),
     ("data.items", '{"data":{"items":[1,2]}}', [1, 2]),
     ("data.items", '{"data":{"other":1},"list":[7]}', [7]),
