@@ -152,9 +152,12 @@ def _merged_type(kinds: set[str], shape: str) -> T.DataType | None:
     return _spark_type(T.StructType.fromDDL(f"c {text}")["c"].dataType)
 
 
-def infer_item_schema(df: DataFrame, item: str = "item") -> T.StructType:
+def infer_item_schema(df: DataFrame, item: str = "item", most_keys: int = 10_000) -> T.StructType:
     """The columns of the records, sorted by name; one aggregated row per key reaches the driver.
 
+    More than ``most_keys`` different keys raise: keys that are data (ids, say) make no columns,
+    and such records need a given schema with a map.
+
     Whole and fractional numbers do not merge, nor do scalars and nested values. Whole numbers
     beyond BIGINT, up to 38 digits, make a DECIMAL column. If one key's values cannot share a
     type, every column is text.
@@ -168,8 +171,11 @@ def infer_item_schema(df: DataFrame, item: str = "item") -> T.StructType:
             F.collect_set(_kind(F.col("value"))).alias("kinds"),
             F.schema_of_variant_agg(F.col("value")).alias("shape"),
         )
+        .limit(most_keys + 1)
         .collect()
     )
+    if len(keys) > most_keys:
+        raise ValueError(f"records have more than {most_keys} different keys: give a schema")
     types = {r.key: _merged_type(set(r.kinds), r.shape) for r in keys}
     if any(t is None for t in types.values()):
         types = dict.fromkeys(types, T.StringType())

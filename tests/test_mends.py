@@ -6,7 +6,9 @@ import pytest
 from tarnkeep import session
 from tarnkeep.operators import quality
 from tarnkeep.operators.contracts import Contract, apply_contract
-from tarnkeep.operators.records import body_rejects, extract_items, items_to_table
+from tarnkeep.operators.records import (
+    body_rejects, extract_items, infer_item_schema, items_to_table,
+)
 from tarnkeep.operators.scd2 import record_hash
 from tarnkeep.plans import jobs
 from tarnkeep.session import scratch_dir
@@ -86,6 +88,14 @@ def test_large_whole_numbers_of_records(spark):
     assert dict(rows(f'[{{"n":{2**63 - 1}}}]').dtypes) == {"n": "bigint"}
 
 
+def test_keys_that_are_data_need_a_schema(spark):
+    df = spark.createDataFrame([('[{"a":1,"b":2},{"c":3}]',)], "body string")
+    items = extract_items(df)
+    assert infer_item_schema(items, most_keys=3).names == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="give a schema"):
+        infer_item_schema(items, most_keys=2)
+
+
 def test_malformed_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     lines = ["a,b", "1,x", "2,y,z", "3", '4,"two', 'lines"', "5,"]
