@@ -48,6 +48,16 @@ def words(text: str) -> list[bytes]:
     return [w for w in stripped if w]
 
 
+def recognisable(text: Column) -> Column:
+    """Whether a text has a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def judge(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: isinstance(t, str) and has_letter(t)).astype(bool)
+
+    return judge(text.cast("string"))
+
+
 class Languages:
     """Log frequencies by language, one column each."""
 
