@@ -7,8 +7,9 @@ longest n-gram that ends there and is known, backing off to shorter ones where i
 language with the highest sum (and log share of documents) is predicted; the score is its
 posterior probability.
 
-A word or n-gram is known if it makes up at least ``LEAST`` of some language's words or n-grams
-of that length, so a language's tables have at most 1/LEAST entries, whatever the size of the corpus.
+Every word and n-gram of the training documents is known, however rare. The ``HOT`` most frequent
+words, or fewer, are broadcast as a shortcut; documents look all others up by a join on the word. Words
+that no training document has are scored once each, by a join of their n-grams.
 
 Words are runs between white space, lower-cased, less the ASCII characters around them that are no
 letters. Null texts and texts without a letter get ``und`` and score 0, as do all texts if nothing
@@ -19,20 +20,21 @@ than doc_id, text and lang are not looked at, and lang only to learn.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.llm import grams
-from tarnkeep.llm.common import crc_of_id, materialize, per_text
+from tarnkeep.llm.common import crc_of_id, materialize
 
 LONGEST = 5
-LEAST = 1e-5
+#: Words that are broadcast, at most.
+HOT = 100_000
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
 _EDGES = bytes(c for c in range(128) if not chr(c).isalpha())
@@ -48,6 +50,26 @@ def words(text: str) -> list[bytes]:
     return [w for w in stripped if w]
 
 
+def _labelled(docs: DataFrame) -> DataFrame:
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.col("lang").cast("string").alias("lang"),
+    )
+    return rows.filter((crc_of_id(FOLDS) != HELD) & F.col("lang").isNotNull())
+
+
+def _logs(counts: list[Column], totals: list[int], kinds: int) -> Column:
+    """Log frequencies by language from counts; ``kinds``: how many are known in all."""
+    kinds = 0.5 * max(1, kinds)
+    return F.array(*[
+        F.log((c + 0.5) / F.lit(max(1.0, float(t)) + kinds)) for c, t in zip(counts, totals, strict=True)
+    ])
+
+
+def _sums(vector: Column, size: int) -> Column:
+    return F.array(*[F.sum(vector[i]) for i in range(size)])
+
+
 def recognisable(text: Column) -> Column:
     """Whether a text has a letter; false for null."""
 
@@ -59,182 +81,207 @@ def recognisable(text: Column) -> Column:
 
 
 class Languages:
-    """Log frequencies by language, one column each."""
-
-    def __init__(
-        self, languages: list[str], documents: list[int], known: dict[bytes, list[int]],
-        totals: list[int], tables: dict[int, dict[int, list[int]]], gram_totals: dict[int, list[int]],
-    ) -> None:
-        self.languages = languages
-        self.prior = np.log(np.array(documents, dtype=float) / max(1, sum(documents)))
-        self.known = {w: i for i, w in enumerate(known)}
-        counts = np.array(list(known.values()), dtype=float).reshape(len(known), len(languages))
-        self.words = self._log(counts, totals)
-        self.keys, self.grams = {}, {}
-        for size, table in tables.items():
-            keys = np.array(list(table), dtype=np.uint64)
-            order = np.argsort(keys)
-            counts = np.array(list(table.values()), dtype=float).reshape(len(table), len(languages))
-            self.keys[size] = keys[order]
-            self.grams[size] = self._log(counts[order], gram_totals[size])
-        # what an n-gram known nowhere says: nothing
-        self.nothing = np.zeros(len(languages))
+    """What training documents say: tables of log frequencies ``v``, one entry for each language."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        counted = self._counted(docs)
+        is_word = F.length("word") > 0
+        stats = counted.groupBy("lang").agg(
+            F.sum(F.when(~is_word, F.col("n"))).alias("documents"),
+            F.coalesce(F.sum(F.when(is_word, F.col("n"))), F.lit(0)).alias("words"),
+        ).collect()
+        stats = sorted(stats, key=lambda r: r["lang"])
+        self.languages = [r["lang"] for r in stats]
+        if not stats:
+            return
+        documents = np.array([r["documents"] or 0 for r in stats], dtype=float)
+        self.prior = np.log(documents / max(1, documents.sum()))
+        words = counted.filter(is_word)
+        wide = materialize(self._wide(words, "word"))
+        kinds, self.words = wide.count(), wide
+        self.words = wide.select(
+            "word", "n", _logs(self._counts(), [r["words"] for r in stats], kinds).alias("v")
+        )
+        grams_ = materialize(self._wide(self._gram_counts(words), "size", "gram"))
+        sums = {r["size"]: r for r in grams_.groupBy("size").agg(
+            F.count("*").alias("kinds"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(stats))]
+        ).collect()}
+        v = F.lit(None)
+        for size, r in sums.items():
+            totals = [r[f"c{i}"] for i in range(len(stats))]
+            v = F.when(F.col("size") == size, _logs(self._counts(), totals, r["kinds"])).otherwise(v)
+        self.grams = grams_.select("size", "gram", v.alias("v"))
+
+    def _counts(self) -> list[Column]:
+        return [F.col(f"c{i}") for i in range(len(self.languages))]
+
+    def _wide(self, rows: DataFrame, *key: str) -> DataFrame:
+        return rows.groupBy(*key).agg(F.sum("n").alias("n"), *[
+            F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"c{i}")
+            for i, lang in enumerate(self.languages)
+        ])
 
     @staticmethod
-    def _log(counts: np.ndarray, totals) -> np.ndarray:
-        totals = np.maximum(1.0, np.array(totals, dtype=float))
-        return np.log((counts + 0.5) / (totals + 0.5 * max(1, len(counts))))
-
-    def unseen(self, words: list[bytes]) -> np.ndarray:
-        """Sums over a word's places of the longest known n-grams' log frequencies, a word a row."""
-        data, begins = grams.lines(words)
-        got = np.zeros((len(data), len(self.languages)))
-        open_ = np.ones(len(data), dtype=bool)
-        open_[begins[:-1]] = False  # nothing ends before the first byte
-        for size in range(LONGEST, 0, -1):
-            keys, ends = grams.grams(data, begins, size)
-            keep = open_[ends]
-            keys, ends = keys[keep], ends[keep]
-            at = grams.find(self.keys.get(size, np.zeros(0, np.uint64)), keys)
-            hit = at >= 0
-            got[ends[hit]] = self.grams[size][at[hit]] if hit.any() else 0
-            open_[ends[hit]] = False
-        sums = np.add.reduceat(got, begins[:-1], axis=0)
-        # a word counts as much as its rarest-known part, not as all of its parts together
-        return sums / np.diff(begins)[:, None]
-
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-        if not self.languages:
-            return out
-        counted = [
-            Counter(words(t)) if isinstance(t, str) and has_letter(t) else None for t in texts
-        ]
-        unseen = sorted({w for c in counted if c for w in c if w not in self.known})
-        place = {w: i for i, w in enumerate(unseen)}
-        more = self.unseen(unseen) if unseen else np.zeros((0, len(self.languages)))
-        table = np.concatenate([self.words, more]) if len(more) else self.words
-        base, get = len(self.words), self.known.get
-        for i, c in enumerate(counted):
-            if c is None:
-                continue
-            at = np.fromiter((p if (p := get(w)) is not None else base + place[w] for w in c), np.int64, len(c))
-            total = self.prior + np.fromiter(c.values(), float, len(c)) @ table[at]
-            best = int(np.argmax(total))
-            out[i] = self.languages[best], float(1 / np.exp(total - total[best]).sum())
-        return out
-
-
-def _labelled(docs: DataFrame) -> DataFrame:
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.col("lang").cast("string").alias("lang"),
-    )
-    return rows.filter((crc_of_id(FOLDS) != HELD) & F.col("lang").isNotNull())
-
-
-def learn(docs: DataFrame, least: float = LEAST) -> Languages:
-    """Tables from the training documents, all of them."""
-    rows = _labelled(docs).select("lang", "text")
-
-    def count(frames):
-        counts: dict[str, Counter] = defaultdict(Counter)
-        documents: Counter = Counter()
-
-        def made():
-            frame = pd.DataFrame(
-                [(k, w, n) for k, c in counts.items() for w, n in c.items()]
-                + [(k, b"", n) for k, n in documents.items()],
-                columns=["lang", "word", "n"],
-            )
-            counts.clear()
-            documents.clear()
-            return frame
+    def _counted(docs: DataFrame) -> DataFrame:
+        def count(frames):
+            counts: dict[str, Counter] = defaultdict(Counter)
+            documents: Counter = Counter()
+
+            def made():
+                frame = pd.DataFrame(
+                    [(k, w, n) for k, c in counts.items() for w, n in c.items()]
+                    + [(k, b"", n) for k, n in documents.items()],
+                    columns=["lang", "word", "n"],
+                )
+                counts.clear()
+                documents.clear()
+                return frame
+
+            for frame in frames:
+                for lang, text in zip(frame["lang"], frame["text"], strict=True):
+                    counts[lang].update(words(text or ""))
+                    documents[lang] += 1
+                if sum(map(len, counts.values())) > 300_000:
+                    yield made()
+            yield made()
+
+        return materialize(
+            _labelled(docs).select("lang", "text")
+            .mapInPandas(count, "lang string, word binary, n long")
+            .groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        )
 
-        for frame in frames:
-            for lang, text in zip(frame["lang"], frame["text"], strict=True):
-                counts[lang].update(words(text or ""))
-                documents[lang] += 1
-            if sum(map(len, counts.values())) > 300_000:
-                yield made()
-        yield made()
-
-    counted = materialize(
-        rows.mapInPandas(count, "lang string, word binary, n long")
-        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    )
-    is_word = F.length("word") > 0
-    stats = counted.groupBy("lang").agg(
-        F.sum(F.when(~is_word, F.col("n"))).alias("documents"),
-        F.coalesce(F.sum(F.when(is_word, F.col("n"))), F.lit(0)).alias("words"),
-    ).collect()
-    stats = sorted(stats, key=lambda r: r["lang"])
-    languages = [r["lang"] for r in stats]
-    number = {x: i for i, x in enumerate(languages)}
-    totals = [r["words"] for r in stats]
-
-    def wide(rows: DataFrame, sums: list[int], key: str) -> dict:
-        """Rows whose share in some language is large enough, with their counts in all."""
-        enough = F.lit(False)
-        for lang, total in zip(languages, sums, strict=True):
-            enough |= (F.col("lang") == lang) & (F.col("n") >= max(1, math.ceil(least * total)))
-        kept = rows.groupBy(key).agg(
-            F.bool_or(enough).alias("kept"), F.collect_list(F.struct("lang", "n")).alias("by")
-        ).filter("kept")
-        out = {}
-        for r in kept.toLocalIterator():
-            counts = [0] * len(languages)
-            for x in r["by"]:
-                counts[number[x["lang"]]] = x["n"]
-            out[r[key] if key != "word" else bytes(r[key])] = counts
-        return dict(sorted(out.items()))
-
-    known = wide(counted.filter(is_word), totals, "word")
-
-    def of_words(frames):
-        for frame in frames:
-            for lang, part in frame.groupby("lang"):
-                data, begins = grams.lines(list(part["word"]))
-                weights = part["n"].to_numpy(np.int64)[grams.word_of(len(data), begins)]
+    @staticmethod
+    def _gram_counts(counted: DataFrame) -> DataFrame:
+        def of_words(frames):
+            for frame in frames:
+                for lang, part in frame.groupby("lang"):
+                    data, begins = grams.lines(list(part["word"]))
+                    weights = part["n"].to_numpy(np.int64)[grams.word_of(len(data), begins)]
+                    for size in range(1, LONGEST + 1):
+                        keys, ends = grams.grams(data, begins, size)
+                        keys, n = grams.summed(keys, weights[ends])
+                        yield pd.DataFrame(
+                            {"lang": lang, "size": size, "gram": keys.view(np.int64), "n": n}
+                        )
+
+        return counted.mapInPandas(of_words, "lang string, size int, gram long, n long").groupBy(
+            "lang", "size", "gram"
+        ).agg(F.sum("n").alias("n"))
+
+    def hot(self, most: int) -> dict[bytes, list[float]]:
+        """Log frequencies of the most frequent words, ``most`` of them or fewer."""
+        sizes = self.words.groupBy("n").agg(F.count("*").alias("c")).collect()  # distinct counts only
+        least, room = None, most
+        for r in sorted(sizes, reverse=True):
+            room -= r["c"]
+            if room < 0:
+                break
+            least = r["n"]
+        if least is None:
+            return {}
+        rows = self.words.filter(F.col("n") >= least).select("word", "v").toLocalIterator()
+        return {bytes(r["word"]): r["v"] for r in rows}
+
+    def unseen(self, distinct: DataFrame) -> DataFrame:
+        """word, v: means over a word's bytes of the longest known n-grams' log frequencies.
+
+        An n-gram known nowhere says nothing. So a word counts as much as its rarest-known part, not
+        as all of its parts together.
+        """
+
+        def split(frames):
+            for frame in frames:
+                data, begins = grams.lines(list(frame["word"]))
+                word, place = grams.word_of(len(data), begins), grams.place_in_word(len(data), begins)
+                lengths = np.diff(begins)
                 for size in range(1, LONGEST + 1):
                     keys, ends = grams.grams(data, begins, size)
-                    keys, n = grams.summed(keys, weights[ends])
-                    yield pd.DataFrame(
-                        {"lang": lang, "size": size, "gram": keys.view(np.int64), "n": n}
-                    )
-
-    counted_grams = materialize(
-        counted.filter(is_word).mapInPandas(of_words, "lang string, size int, gram long, n long")
-        .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
-    )
-    tables, gram_totals = {}, {}
-    for size in range(1, LONGEST + 1):
-        of_size = counted_grams.filter(F.col("size") == size)
-        sums = {r["lang"]: r["n"] for r in of_size.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        gram_totals[size] = [sums.get(x, 0) for x in languages]
-        tables[size] = wide(of_size, gram_totals[size], "gram")
-    return Languages(
-        languages, [r["documents"] or 0 for r in stats], known, totals, tables, gram_totals
-    )
-
-
-def predicted(docs: DataFrame, model: Languages | None = None) -> Column:
-    """A struct of lang_pred and score from ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
-
-    def make():
-        languages = shared.value
-        return lambda texts: pd.DataFrame(
-            languages.predict(list(texts)), columns=["lang_pred", "score"]
+                    keep = place[ends] > 0  # nothing ends before the first byte
+                    keys, ends = keys[keep].view(np.int64), ends[keep]
+                    yield pd.DataFrame({
+                        "word": frame["word"].to_numpy()[word[ends]], "bytes": lengths[word[ends]],
+                        "place": place[ends], "size": size, "gram": keys,
+                    })
+
+        places = distinct.mapInPandas(split, "word binary, bytes long, place long, size int, gram long")
+        short = F.col("size") <= 2  # at most 2**16 + 2**8 n-grams, each in many words
+        found = places.filter(~short).join(self.grams.filter(~short), ["size", "gram"]).unionByName(
+            places.filter(short).join(F.broadcast(self.grams.filter(short)), ["size", "gram"])
         )
+        longest = found.groupBy("word", "bytes", "place").agg(F.max_by("v", "size").alias("v"))
+        n = len(self.languages)
+        summed = longest.groupBy("word", "bytes").agg(_sums(F.col("v"), n).alias("s"))
+        scored = summed.select(
+            "word", F.transform("s", lambda x: x / F.col("bytes")).alias("v")
+        )
+        return scored
 
-    return per_text(make, "lang_pred string, score double", F.col("text").cast("string"))
 
+def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """Contract columns of every document."""
+    spark = docs.sparkSession
+    model = Languages(docs)
+    n = len(model.languages)
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.col("lang").cast("string").alias("lang"),
+    ).withColumn("held_out", crc_of_id(FOLDS) == HELD)
+    if not n:
+        return texts.select(
+            "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+        )
+    frequent = spark.sparkContext.broadcast(model.hot(hot))
+    prior = model.prior
 
-def report(docs: DataFrame) -> DataFrame:
-    got = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), predicted(docs).alias("p")
+    def partly(frames):
+        known = frequent.value
+        base = TaskContext.get().partitionId() << 36
+        for frame in frames:
+            sums, asked = [], []
+            for text in frame["text"]:
+                total, rare = np.zeros(0), []
+                if isinstance(text, str) and has_letter(text):
+                    counted = Counter(words(text))
+                    rare = [(w, c) for w, c in counted.items() if w not in known]
+                    here = [(known[w], c) for w, c in counted.items() if w in known]
+                    total = prior.copy()
+                    if here:
+                        total += np.array([c for _, c in here], float) @ np.array([v for v, _ in here])
+                sums.append(total)
+                asked.append([{"word": w, "times": c} for w, c in rare])
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"].astype("Int64"), "row": base + np.arange(len(frame)),
+                "held_out": frame["held_out"], "learned": frame["learned"], "total": sums, "asked": asked,
+            })
+            base += len(frame)
+
+    learned = (~F.col("held_out") & F.col("lang").isNotNull()).alias("learned")
+    rows = materialize(
+        texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "held_out", learned)
+        .mapInPandas(
+            partly,
+            "doc_id long, row long, held_out boolean, learned boolean, total array<double>,"
+            " asked array<struct<word:binary,times:long>>",
+        )
+    )
+    asked = rows.select("row", "learned", F.explode("asked").alias("a")).select(
+        "row", "learned", "a.word", "a.times"
     )
-    return got.select(
-        "doc_id", (crc_of_id(FOLDS) == HELD).alias("held_out"), "p.lang_pred", "p.score"
+    new = asked.filter(~F.col("learned")).select("word").distinct().join(model.words, "word", "left_anti")
+    vectors = model.words.select("word", "v").unionByName(model.unseen(new))
+    looked_up = asked.join(vectors, "word").select(
+        F.col("row").alias("r"), F.transform("v", lambda x: x * F.col("times")).alias("v")
+    ).groupBy("r").agg(_sums(F.col("v"), n).alias("more"))
+    total = F.coalesce(F.zip_with("total", "more", lambda x, y: x + y), F.col("total"))
+    judged = rows.join(looked_up, rows["row"] == looked_up["r"], "left").withColumn("total", total)
+    best = F.array_max("total")
+    names = F.array(*[F.lit(x) for x in model.languages])
+    odds = F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp(x - best))
+    some = F.size("total") > 0  # texts without a letter have no sums
+    # ties go to the language first in order
+    first = F.get(names, F.array_position("total", best).cast("int") - 1)
+    return judged.select(
+        "doc_id", "held_out", F.when(some, first).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(some, 1 / odds).otherwise(0.0).alias("score"),
     )
