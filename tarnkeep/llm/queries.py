@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarnkeep.llm import (
     decontaminate, language, merkle, packing, rans, repair, repeats, secrets, shards, simhash,
-    suffix_tree, urls,
+    suffix_tree, tour, urls,
 )
 from tarnkeep.llm.common import table
 
@@ -59,6 +59,10 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair.report(table(spark, sf, "conversations"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return tour.report(table(spark, sf, "conversations"))
+
+
 def op13_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shards.report(table(spark, sf, "documents"))
 
@@ -74,7 +78,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_secret_scan, op2_suffix_tree_score, op3_language_id, op4_url_filter,
         op5_best_fit_packing, op6_simhash_components, op7_decontamination, op8_token_files,
-        op9_repeated_strings, op10_merkle_fingerprints, op11_conversation_repair, op13_sharding, pipeline,
+        op9_repeated_strings, op10_merkle_fingerprints, op11_conversation_repair, op12_conversation_trie,
+        op13_sharding, pipeline,
     )
 }
 ORACLES: dict[str, str] = {}
