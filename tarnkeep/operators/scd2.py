@@ -42,18 +42,24 @@ def scd2_stage(
     as_of: date | str | None = None,
     null_token: str | None = None,
     order_by: Sequence[str | Column] | None = None,
+    dated_by: str | None = None,
 ) -> DataFrame:
     """Incoming rows as current versions: one per key, with validity columns and hash.
 
-    Rows with a null in the key are left out, see :func:`scd2_rejects`.
+    With ``dated_by``, a date column, rows hold from that date (``as_of`` where it is null) and there is one
+    per key and date. Rows with a null in the key are left out, see :func:`scd2_rejects`.
     """
     columns = [*keys, *tracked]
     keyed = df.dropna(how="any", subset=list(keys))
+    start, one_per = date_literal(as_of), list(keys)
+    if dated_by is not None:
+        keyed = keyed.withColumn(START, F.coalesce(F.col(dated_by).cast("date"), start))
+        start, one_per = F.col(START), [*keys, START]
     if order_by is None:
-        keyed = keyed.select(*columns)
-    return first_per_key(keyed, keys, order_by).select(
+        keyed = keyed.select(*columns, *one_per[len(keys):])
+    return first_per_key(keyed, one_per, order_by).select(
         *columns,
-        date_literal(as_of).alias(START),
+        start.alias(START),
         F.lit(None).cast("date").alias(END),
         F.lit(True).alias(CURRENT),
         record_hash(columns, null_token).alias(HASH),

@@ -22,6 +22,7 @@ from tarnkeep.operators.rules import Rule, annotate, order_rules
 from tarnkeep.operators.scd2 import scd2_advance, scd2_changes, scd2_rejects, scd2_stage
 from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
 from tarnkeep.session import materialize, temporary
+from tarnkeep.sinks.buckets import KeyBuckets
 from tarnkeep.sinks.history import HistoryStore
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
 from tarnkeep.sources.files import read_csv, read_csv_text, read_path, read_table
@@ -133,21 +134,29 @@ def cleanse_orders_job(
 def load_history(
     spark: SparkSession,
     rows: DataFrame,
-    store: HistoryStore,
+    store: HistoryStore | KeyBuckets,
     keys: Sequence[str],
     tracked: Sequence[str],
     as_of: date | str | None = None,
     null_token: str | None = NULL_TOKEN,
     close_missing: bool = False,
     rejects_path: str | None = None,
+    dated_by: str | None = None,
+    confirm: bool = False,
 ) -> int:
     """Load typed rows into a history; returns the number of its latest run.
 
-    The staged rows are written first: the comparison and the load both need them. The
-    comparison reads keys and hashes only, and no run is written if nothing differs.
+    :class:`KeyBuckets` takes rows of any dates (``dated_by``, ``confirm``) and rewrites the buckets that change.
+    For the other stores the staged rows are written first: the comparison and the load both need them.
+    The comparison reads keys and hashes only. No run is written if nothing differs.
     """
     if rejects_path is not None:
         write_path(scd2_rejects(rows, keys), rejects_path, "append")
+    if isinstance(store, KeyBuckets):
+        staged = scd2_stage(rows, keys, tracked, as_of, null_token, dated_by=dated_by)
+        return store.load(staged, as_of, close_missing, confirm)
+    if dated_by is not None or confirm:
+        raise ValueError("only a history in key buckets takes rows of several dates")
     staged = scd2_stage(rows, keys, tracked, as_of, null_token)
     run = store.last_run(spark)
     if run == 0:
@@ -167,7 +176,7 @@ def load_history(
 def history_job(
     spark: SparkSession,
     source: str,
-    store: HistoryStore,
+    store: HistoryStore | KeyBuckets,
     spec: HistorySpec,
     as_of: date | str | None = None,
     csv_options: Mapping[str, str] | None = None,

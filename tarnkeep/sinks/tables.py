@@ -70,10 +70,13 @@ def ensure_table(
 def write_report(
     report: DataFrame, target: str, run_date: date | str | None = None, fmt: str = "json"
 ) -> None:
-    """Write a check report to the folder of its run date; a repeated date replaces its report."""
+    """Write a check report to the folders of its run date and tables.
+
+    A repeated date replaces the report of the tables it holds; those of other tables stay.
+    """
     dated = report.withColumn("run_date", date_literal(run_date))
     dated.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "run_date"
+        "run_date", "table"
     ).save(target)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,66 @@ from pyspark.sql import types as T
 from tarnkeep.operators.contracts import Contract, apply_contract
 
 
+#: Header lines read at a time.
+_READERS = 16
+
+
+def header_groups(
+    spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None
+) -> list[list[str]]:
+    """The files of a CSV set by their header line; files without one are left out.
+
+    Only the first lines are read, by the driver's file system client, several files at a time.
+    """
+    comment = {k.lower(): v for k, v in (options or {}).items()}.get("comment")
+    jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(configuration)
+
+    def header(file: str) -> str | None:
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = place.getFileSystem(configuration).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            plain = stream if codec is None else codec.createInputStream(stream)
+            # one character per byte: lines are only compared
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "ISO-8859-1"))
+            line = lines.readLine()
+            while line is not None and (not line.strip() or comment and line.startswith(comment)):
+                line = lines.readLine()
+            return line
+        finally:
+            stream.close()
+
+    found = sorted(spark.read.text(path).inputFiles())
+    groups = defaultdict(list)
+    with ThreadPoolExecutor(_READERS) as pool:
+        for file, line in zip(found, pool.map(header, found), strict=True):
+            if line is not None:
+                groups[line].append(file)
+    return list(groups.values())
+
+
+def read_csv_by_name(
+    spark: SparkSession,
+    path: str | list[str],
+    options: Mapping[str, str] | None = None,
+    malformed: str | None = None,
+) -> DataFrame:
+    """As :func:`read_csv_text`, for files whose headers differ in order or lack columns.
+
+    Files are grouped by their header line, each group is read by its own header, and
+    the groups are united by name. Each file is scanned once; a column that a file
+    lacks is null for its rows.
+    """
+    groups = header_groups(spark, path, options)
+    if len(groups) < 2:
+        return read_csv_text(spark, path, options, malformed)
+    parts = [read_csv_text(spark, group, options, malformed) for group in groups]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    last = [malformed] if malformed is not None else []
+    return whole.select(*[c for c in whole.columns if c not in last], *last)
+
+
 def read_csv_text(
     spark: SparkSession,
     path: str | list[str],
@@ -56,12 +119,15 @@ def read_csv(
     contract: Contract,
     options: Mapping[str, str] | None = None,
     malformed: str | None = None,
+    by_name: bool = False,
 ) -> DataFrame:
     """A CSV file set cast to its contract; a value that cannot be cast is null.
 
-    ``malformed`` as in :func:`read_csv_text`; the column comes last.
+    ``malformed`` as in :func:`read_csv_text`; the column comes last. With ``by_name`` the files may
+    differ in the order of their columns, and lack some (:func:`read_csv_by_name`).
     """
-    text = read_csv_text(spark, path, options, malformed)
+    read = read_csv_by_name if by_name else read_csv_text
+    text = read(spark, path, options, malformed)
     kept = [c for c in text.columns if c in contract.columns or c == malformed]
     others = [c for c in text.columns if c not in kept]
     return apply_contract(text.drop(*others), contract, keep_others=malformed is not None)
@@ -93,6 +159,15 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in file_system.listStatus(jvm_path) if s.isDirectory()]
 
 
+def child_files(spark: SparkSession, path: str, folders: bool = False) -> list[str]:
+    """Names of the files (or folders) with rows directly below ``path``; none if it does not exist."""
+    file_system, jvm_path = _file_system(spark, path)
+    if not file_system.exists(jvm_path):
+        return []
+    found = [(s.getPath().getName(), s.isDirectory()) for s in file_system.listStatus(jvm_path)]
+    return [name for name, folder in found if folder == folders and name[0] not in "._"]
+
+
 def table_exists(spark: SparkSession, target: str) -> bool:
     """Whether a catalog table of that name, or a folder at that path, is there."""
     if "/" in target:

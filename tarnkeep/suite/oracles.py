@@ -173,7 +173,7 @@ lines AS (
   SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
     l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1
-), snapshot_1 AS (
+), snapshot_1 AS MATERIALIZED (
   SELECT l_orderkey AS transaction_id, l_linenumber AS line_number,
          CAST(l_shipdate AS DATE) AS transaction_date, l_suppkey AS store_id, l_partkey AS sku,
          o_custkey AS customer_id, CAST(round(l_discount * 100) AS BIGINT) AS promotion_id,
@@ -207,23 +207,25 @@ snapshot_1 AS (
 def _history(snapshots: str, columns: str, keys: list[str], close_missing: bool = False) -> str:
     def staged(number: int, as_of: str) -> str:
         return (
-            f"staged_{number} AS (SELECT {columns}, DATE '{as_of}' AS effective_start_date, "
+            f"staged_{number} AS MATERIALIZED (SELECT {columns}, DATE '{as_of}' AS effective_start_date, "
             f"CAST(NULL AS DATE) AS effective_end_date, TRUE AS current_flag, "
             f"md5(concat_ws('||', {columns})) AS record_hash FROM snapshot_{number})"
         )
 
-    match = " AND ".join(f"a.{k} = b.{k}" for k in keys)
-    gone = f"OR NOT EXISTS (SELECT 1 FROM staged_2 b WHERE {match})" if close_missing else ""
+    # a version ends where its key has another hash, or is missing
+    other = ", ".join([*keys, "record_hash AS other_hash"])
+    ended = f"other_hash <> record_hash{' OR other_hash IS NULL' if close_missing else ''}"
     return f"""WITH {snapshots}, {staged(1, "2024-01-01")}, {staged(2, "2024-02-01")},
 changes AS (
-  SELECT a.* FROM staged_2 a LEFT JOIN staged_1 b ON {match}
-  WHERE b.{keys[0]} IS NULL OR a.record_hash <> b.record_hash
+  SELECT a.* EXCLUDE (other_hash) FROM
+    (SELECT * FROM staged_2 LEFT JOIN (SELECT {other} FROM staged_1) USING ({", ".join(keys)})) a
+  WHERE other_hash IS NULL OR other_hash <> record_hash
 ), history AS (
-  SELECT a.* EXCLUDE (ended) REPLACE (
+  SELECT a.* EXCLUDE (other_hash, ended) REPLACE (
     CASE WHEN ended THEN DATE '2024-02-01' END AS effective_end_date,
     NOT ended AS current_flag)
-  FROM (SELECT a.*, (EXISTS (SELECT 1 FROM changes b WHERE {match}) {gone}) AS ended
-        FROM staged_1 a) a
+  FROM (SELECT *, coalesce({ended}, FALSE) AS ended
+        FROM staged_1 LEFT JOIN (SELECT {other} FROM staged_2) USING ({", ".join(keys)})) a
   UNION ALL BY NAME
   SELECT * FROM changes
 )"""
@@ -503,6 +505,9 @@ ORACLES: dict[str, str] = {
     "cleansing_job_clean": f"""WITH {ORDERS_TEXT}, good AS (
           SELECT * FROM orders_text WHERE NOT ({_BAD}))
         SELECT *, {_LOGGED} AS ingestion_timestamp FROM ({_first_per_key("good")})""",
+    "csv_mixed_headers": f"""WITH {_SNAPSHOTS} SELECT * REPLACE (
+          CASE WHEN transaction_id % 3 < 2 THEN sku END AS sku,
+          CASE WHEN transaction_id % 3 < 2 THEN store_id END AS store_id) FROM snapshot_1""",
     "csv_rejects": """SELECT * FROM (
         SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR)
           || CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE ',' || o_orderstatus || ',x' END
@@ -519,6 +524,22 @@ ORACLES: dict[str, str] = {
         {_LOGGED} AS bad_record_timestamp FROM orders_text WHERE {_BAD}""",
     "sales_history_job": _SALES_HISTORY + " SELECT * FROM history",
     "sales_history_tables": _SALES_HISTORY + " SELECT * FROM history",
+    "sales_history_dated": """WITH stated AS (
+          SELECT l_partkey AS sku, CAST(round(l_discount * 100) AS BIGINT) AS discount_pct,
+                 l_returnflag AS flag, CAST(l_shipdate AS DATE) AS effective_start_date
+          FROM lineitem
+          QUALIFY row_number() OVER (PARTITION BY l_partkey, CAST(l_shipdate AS DATE)
+                                     ORDER BY round(l_discount * 100), l_returnflag) = 1
+        ), marked AS (
+          SELECT *, md5(concat_ws('||', sku, discount_pct, flag)) AS record_hash,
+                 lag((discount_pct, flag)) OVER (PARTITION BY sku ORDER BY effective_start_date) AS before
+          FROM stated
+        ), changed AS (
+          SELECT * EXCLUDE (before) FROM marked WHERE before IS NULL OR before <> (discount_pct, flag)
+        )
+        SELECT *, lead(effective_start_date) OVER dated AS effective_end_date,
+               lead(effective_start_date) OVER dated IS NULL AS current_flag
+        FROM changed WINDOW dated AS (PARTITION BY sku ORDER BY effective_start_date)""",
     "promotions_history_job": _PROMOTION_HISTORY + " SELECT * FROM history WHERE current_flag",
     "quality_job": _line_report().replace("'order_lines'", "'checked_lines'"),
 }

@@ -16,10 +16,11 @@ from tarnkeep.operators import (
 )
 from tarnkeep.plans import calendar, jobs, measures
 from tarnkeep.plans.tables import (
-    ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, SALES_HISTORY,
+    ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, SALES, SALES_HISTORY,
 )
 from tarnkeep.session import materialize, scratch_dir, tune
-from tarnkeep.sinks.history import HistoryFolder, HistoryTable
+from tarnkeep.sinks.buckets import KeyBuckets
+from tarnkeep.sinks.history import HistoryTable
 from tarnkeep.sinks.tables import ensure_schema
 from tarnkeep.sources import files
 
@@ -563,6 +564,18 @@ def csv_contract(spark, sf):
     return files.read_csv(spark, _csv(orders_like(spark, sf)), ORDERS)
 
 
+@query
+def csv_mixed_headers(spark, sf):
+    """Files of one set whose headers differ in order, one of them without two columns."""
+    sales = fixtures.sales_snapshot_1(spark, sf)
+    names = sales.columns
+    target = scratch_dir(spark)
+    for part, columns in enumerate((names, names[::-1], [c for c in names if c not in ("sku", "store_id")])):
+        rows = sales.filter(f"transaction_id % 3 = {part}").select(*columns)
+        rows.write.option("header", True).mode("append").csv(target)
+    return files.read_csv(spark, target, SALES, by_name=True)
+
+
 @query
 def csv_rejects(spark, sf):
     """Lines with a field too many or two too few."""
@@ -628,7 +641,7 @@ def cleansing_job_bad(spark, sf):
 @query
 def sales_history_job(spark, sf):
     """Two CSV loads, then the second again, which adds no run."""
-    store = HistoryFolder(scratch_dir(spark))
+    store = KeyBuckets(scratch_dir(spark), SALES_HISTORY.keys, 16)
     first = _csv(fixtures.sales_snapshot_1(spark, sf))
     second = _csv(fixtures.sales_snapshot_2(spark, sf))
     for source, as_of in ((first, FIRST_LOAD), (second, SECOND_LOAD), (second, "2024-03-01")):
@@ -652,9 +665,25 @@ def sales_history_tables(spark, sf):
     return store.history(spark)
 
 
+@query
+def sales_history_dated(spark, sf):
+    """Rows with dates of their own, many per key, in three loads that come in no order."""
+    stated = table(spark, sf, "lineitem").selectExpr(
+        "l_partkey as sku", "cast(round(l_discount * 100) as bigint) as discount_pct",
+        "l_returnflag as flag", "cast(l_shipdate as date) as shipped",
+    )
+    store = KeyBuckets(scratch_dir(spark), ["sku"], 16)
+    for part in (2, 0, 1):
+        jobs.load_history(
+            spark, stated.filter(f"unix_date(shipped) % 3 = {part}"), store, ["sku"],
+            ["discount_pct", "flag"], FIRST_LOAD, dated_by="shipped", confirm=True,
+        )
+    return store.history(spark)
+
+
 @query
 def promotions_history_job(spark, sf):
-    store = HistoryFolder(scratch_dir(spark))
+    store = KeyBuckets(scratch_dir(spark), PROMOTION_HISTORY.keys, 16)
     for number, as_of in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
         source = _csv(fixtures.promotions_snapshot(spark, sf, number))
         jobs.history_job(spark, source, store, PROMOTION_HISTORY, as_of)

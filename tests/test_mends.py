@@ -1,8 +1,11 @@
+import gzip
 import json
 import os
 
 import pytest
 
+import plans
+
 from tarnkeep import session
 from tarnkeep.operators import quality
 from tarnkeep.operators.contracts import Contract, apply_contract
@@ -13,7 +16,7 @@ from tarnkeep.operators.scd2 import record_hash
 from tarnkeep.plans import jobs
 from tarnkeep.session import scratch_dir
 from tarnkeep.sinks.tables import write_report
-from tarnkeep.sources.files import csv_rejects, read_csv
+from tarnkeep.sources.files import csv_rejects, header_groups, read_csv, read_csv_by_name
 
 
 def test_whole_numbers_keep_all_digits(spark):
@@ -128,6 +131,41 @@ def test_a_repeated_run_date_replaces_its_report(spark):
     assert spark.read.json(target).count() == 2
 
 
+def test_reports_of_several_tables_on_one_day_are_all_kept(spark):
+    target = scratch_dir(spark)
+    for name, rows in (("t1", 3), ("t2", 4), ("t1", 5)):
+        spark.range(rows).createOrReplaceTempView(name)
+        config = {"tables": [{"table": name, "checks": [{"type": "row_count_gt", "value": 1}]}]}
+        jobs.quality_job(spark, config, target, "2024-01-01")
+    kept = spark.read.schema(quality.REPORT).json(target).collect()
+    assert sorted((r.table, r.actual) for r in kept) == [("t1", 5.0), ("t2", 4.0)]
+
+
+def test_csv_files_with_differing_headers(spark, tmp_path):
+    texts = {
+        "a.csv": "k,v,w\n1,a,x\n2,\"b,c\",y\n", "b.csv": "# note\n\nw,k,v\nz,3,d\n", "c.csv": "v,k\ne,4\n",
+        "d.csv": "k,v,w\n5,f,u\n", "empty.csv": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    with gzip.open(tmp_path / "e.csv.gz", "wt") as out:
+        out.write("w,k,v\nt,6,g\n")
+    options = {"comment": "#"}
+    got = read_csv_by_name(spark, str(tmp_path), options)
+    assert got.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, got.collect())) == [
+        ("1", "a", "x"), ("2", "b,c", "y"), ("3", "d", "z"), ("4", "e", None), ("5", "f", "u"), ("6", "g", "t"),
+    ]
+    assert sorted(map(len, header_groups(spark, str(tmp_path), options))) == [1, 2, 2]
+    assert plans.count(got, "FileScan csv") == 3 and len(got.inputFiles()) == 5  # each file once
+    contract = Contract({"k": "bigint", "w": "string", "v": "string"})
+    typed = read_csv(spark, str(tmp_path), contract, options, "line", by_name=True)
+    assert typed.columns == ["k", "w", "v", "line"] and {r.line for r in typed.collect()} == {None}
+    (tmp_path / "f.csv").write_text("v,k\nh,7,too many\n")
+    rows = read_csv(spark, str(tmp_path), contract, options, "line", by_name=True).collect()
+    assert [r.line for r in rows if r.line] == ["h,7,too many"]
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Conf(dict):
         def get(self, key, default=None):
