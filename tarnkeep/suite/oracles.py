@@ -406,6 +406,20 @@ ORACLES: dict[str, str] = {
     "sales_calendar_by_region": _calendar(
         "region, date, sales, sales_ytd, sales_mtd, sales_last_12m, sales_same_period_ly", "region"
     ),
+    "sales_calendar_by_customer": f"""WITH {ORDERS_LIKE}, totals AS (
+          SELECT customer_id, order_date AS date, sum(total_amount) AS sales FROM orders_like
+          WHERE order_date IS NOT NULL GROUP BY ALL)
+        SELECT a.customer_id, a.date, CAST(any_value(a.sales) AS DECIMAL(38,2)) AS sales,
+          CAST(sum(b.sales) FILTER (WHERE year(b.date) = year(a.date)) AS DECIMAL(38,2)) AS sales_ytd,
+          CAST(sum(b.sales) FILTER (WHERE date_trunc('month', b.date) = date_trunc('month', a.date))
+            AS DECIMAL(38,2)) AS sales_mtd,
+          CAST(sum(b.sales) FILTER (WHERE b.date > a.date - INTERVAL 12 MONTH) AS DECIMAL(38,2))
+            AS sales_last_12m,
+          CAST(sum(b.sales) FILTER (WHERE b.date = a.date - INTERVAL 12 MONTH) AS DECIMAL(38,2))
+            AS sales_same_period_ly
+        FROM totals a JOIN totals b ON a.customer_id IS NOT DISTINCT FROM b.customer_id
+          AND b.date <= a.date AND b.date >= date_trunc('year', a.date) - INTERVAL 12 MONTH
+        GROUP BY a.customer_id, a.date""",
     "sales_by_quarter": f"""WITH {ORDERS_LIKE} SELECT CAST(year(order_date) AS INT) AS year,
         CAST(quarter(order_date) AS INT) AS quarter, {_SALES} FROM orders_like GROUP BY ALL""",
     "orders_good": f"WITH {ORDERS_LIKE} SELECT * FROM orders_like WHERE NOT ({_BAD})",

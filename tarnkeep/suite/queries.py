@@ -123,6 +123,14 @@ def sales_calendar_by_region(spark, sf):
     return calendar.sales_calendar(orders_like(spark, sf, [*_DAY_COLUMNS, "region"]), ["region"])
 
 
+@query
+def sales_calendar_by_customer(spark, sf):
+    """All five measures for each customer, on the days they bought."""
+    return calendar.sales_calendar(
+        orders_like(spark, sf, [*_DAY_COLUMNS, "customer_id"]), ["customer_id"], days="sold"
+    )
+
+
 @query
 def sales_by_quarter(spark, sf):
     ordered_on = table(spark, sf, "orders").selectExpr("cast(o_orderdate as date) as order_date")

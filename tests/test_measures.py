@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plans
+from tarnkeep.plans import calendar
 from tarnkeep.plans.calendar import date_dimension, join_calendar, sales_calendar
 from tarnkeep.plans.measures import (
     MEASURES, control_measures, history_measures, measures, promotion_measures, top_products,
@@ -148,6 +149,45 @@ def test_groups_share_the_whole_date_range(spark):
     ]
 
 
+def test_measures_on_sold_and_on_given_days(spark):
+    sold = {
+        date(2019, 2, 28): 2, date(2020, 2, 29): 32, date(2020, 3, 1): 64, date(2021, 2, 28): 128,
+        date(2024, 1, 1): 1, date(2024, 12, 31): 7,
+    }
+    df = spark.createDataFrame(
+        [(g, d, Decimal(v)) for d, v in sold.items() for g in ("x", None)],
+        "g string, order_date date, total_amount decimal(10,2)",
+    )
+    expected = {r[0]: r for r in brute_force(sold, min(sold), max(sold))}
+    got = sales_calendar(df, ["g"], days="sold")
+    for group in ("g = 'x'", "g is null"):
+        assert [tuple(r)[1:] for r in got.filter(group).orderBy("date").collect()] == [
+            expected[d] for d in sorted(sold)
+        ]
+    asked = [date(2020, 2, 28), date(2020, 2, 29), date(2021, 2, 28), date(2021, 3, 1), date(2023, 5, 5),
+             date(2024, 1, 1), date(2024, 6, 30)]
+    points = spark.createDataFrame([(None, d) for d in asked] + [("new", asked[0])], "g string, date date")
+    at = sales_calendar(df, ["g"], days=points).orderBy("date").collect()
+    assert [tuple(r)[1:] for r in at if r.g is None] == [expected[d] for d in asked]
+    assert [tuple(r)[2:] for r in at if r.g == "new"] == [(None,) * 5]
+
+
+def test_a_stray_date_costs_no_days(spark):
+    df = spark.sql("""select g, date(d) order_date, cast(1 as decimal(10,2)) total_amount
+        from values ('x', '1900-01-01'), ('y', '2024-01-03') t(g, d)""")
+    steps = calendar._steps(calendar._events(calendar.day_totals(df, ["g"]), ["g"]), ["g"])
+    assert steps.count() == 5  # the sale, new year's day and a year later, which are one day for x
+    assert sales_calendar(df, ["g"], days="sold").count() == 2
+
+
+def test_calendar_by_dimension_has_no_join(sales):
+    dated = sales.withColumn("order_date", F.lit("2024-01-01").cast("date"))
+    days = sales_calendar(dated, ["order_status"], days="sold")
+    assert plans.count(days, "SortMergeJoin") + plans.count(days, "BroadcastHashJoin") == 0
+    assert plans.count(days, "Exchange") == 2
+    assert plans.count(sales_calendar(dated, ["order_status"]), "SortMergeJoin") == 0
+
+
 def test_date_dimension(spark):
     df = spark.sql("select date'2023-12-30' order_date union all select date'2024-01-02'")
     days = date_dimension(df)
