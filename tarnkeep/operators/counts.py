@@ -29,7 +29,7 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _distinct_text(field: T.StructField) -> Column:
+def distinct_text(field: T.StructField) -> Column:
     """A text that two values share exactly when grouping treats them as equal."""
     column = named(field.name)
     kind = field.dataType
@@ -57,7 +57,7 @@ def column_cardinality(df: DataFrame, approximate: bool = False) -> DataFrame:
     pairs = [
         F.struct(
             F.lit(i).alias("position"),
-            _distinct_text(f).alias("value"),
+            distinct_text(f).alias("value"),
         )
         for i, f in enumerate(df.schema.fields)
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarnkeep.functions.names import named
 from tarnkeep.functions.text import clean_identifier
+from tarnkeep.operators.states import MAX, PART_OF, SUM, merged
 
 # The date and time spellings that count as a date, each with the shape of its
 # text. ISO spellings are cast, the others parsed by their format; text of no such shape costs
@@ -88,7 +90,11 @@ def _values(df: DataFrame, table_name: str) -> DataFrame:
     return df.select(F.lit(table_name).alias("table_name"), F.inline(F.array(*pairs)))
 
 
-def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
+#: What a ladder counts of a column; all are sums, but for the length.
+COUNTERS = ("rows", "filled", "whole", "numeric", "dates", "booleans", "max_length")
+
+
+def _counted(values: DataFrame, steps: Ladder, by: Sequence[str]) -> DataFrame:
     longest_word = max(map(len, steps.boolean_words))
     value, digits, numeric = F.col("value"), F.col("digits"), F.col("numeric")
     tested = (
@@ -100,7 +106,7 @@ def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
     # a failing cast is far dearer than a pattern test, so only digits are cast
     whole = F.when(digits, F.col("number").try_cast(steps.integer_type)).isNotNull()
     boolean = (F.length(value) <= longest_word) & F.lower(value).isin(*steps.boolean_words)
-    counted = tested.groupBy("table_name", "position", "column").agg(
+    return tested.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(value).alias("filled"),
         F.count_if(whole).alias("whole"),
@@ -110,6 +116,8 @@ def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
         F.max(F.length(value)).alias("max_length"),
     )
 
+
+def _typed(counted: DataFrame) -> DataFrame:
     def all_are(count: str) -> Column:
         return F.col(count) == F.col("filled")
 
@@ -131,6 +139,47 @@ def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
     )
 
 
+def _profiled(values: DataFrame, steps: Ladder) -> DataFrame:
+    return _typed(_counted(values, steps, ["table_name", "position", "column"]))
+
+
+def profile_states(df: DataFrame, ladder: str = "a") -> DataFrame:
+    """The ladder's counters of each part of ``df``, named in ``__part``, as state rows."""
+    columns = [c for c in df.columns if c != PART_OF]
+    pairs = [
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), named(c).cast("string").alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    values = df.select(F.col(PART_OF).alias("part"), F.inline(F.array(*pairs)))
+    counted = _counted(values, LADDERS[ladder], ["part", "position", "column"])
+    rows = [
+        F.struct(
+            F.lit(MAX if c in ("max_length", "position") else SUM).alias("kind"),
+            F.concat(F.lit(f"{c}|"), "column").alias("metric"), F.lit(None).cast("bigint").alias("bucket"),
+            F.col(c).cast("bigint").alias("value"), F.lit(None).cast("binary").alias("data"),
+        )
+        for c in (*COUNTERS, "position")
+    ]
+    return counted.select("part", F.inline(F.array(*rows)))
+
+
+def profile_of_states(rows: DataFrame, table_name: str = "table") -> DataFrame:
+    """The profile out of :func:`profile_states` of any parts, as :func:`profile` gives it over all rows.
+
+    A column that some parts lack is judged by the others.
+    """
+    named_values = merged(rows).select(
+        F.substring_index("metric", "|", 1).alias("counter"),
+        F.expr("substring(metric, instr(metric, '|') + 1)").alias("column"), "value",
+    )
+    whole = ("position", "max_length")
+    counted = named_values.groupBy("column").agg(*(
+        F.max(F.when(F.col("counter") == c, F.col("value"))).cast("int" if c in whole else "bigint").alias(c)
+        for c in (*COUNTERS, "position")
+    ))
+    return _typed(counted.withColumn("table_name", F.lit(table_name)))
+
+
 def profile(df: DataFrame, ladder: str = "a", table_name: str = "table") -> DataFrame:
     """The narrowest type holding all values of each column: one row per column.
 

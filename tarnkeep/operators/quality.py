@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
 from datetime import datetime
 from functools import reduce
 from typing import Any
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from tarnkeep.functions.names import named
 from tarnkeep.functions.predicates import is_blank, not_matching, out_of_range
+from tarnkeep.operators.states import distinct_of, one_row, states, value_of
 
 REPORT = T.StructType([
     T.StructField("table", T.StringType()),
@@ -159,14 +161,14 @@ _COMPARE = {
 }
 
 
-def run_checks(
-    df: DataFrame, checks: Sequence[Mapping[str, Any]], table_name: str | None = None
-) -> DataFrame:
-    """One report row per check, from one aggregation over ``df``.
-
-    A check that cannot be evaluated gets a failed row with the reason; the others still run.
-    """
-    measures = [F.count(F.lit(1)).alias("__total")]
+def _assembled(
+    checks: Sequence[Mapping[str, Any]],
+    table_name: str | None,
+    total: Column,
+    evaluate: Callable[[Mapping[str, Any]], tuple[Column, float, str]],
+) -> tuple[list[Column], list[Column]]:
+    """The measures of the checks, and their report rows in terms of them."""
+    measures = [total.alias("__total")]
     rows = []
     for position, check in enumerate(checks):
         kind = check.get("type")
@@ -178,7 +180,7 @@ def run_checks(
             "total_rows": F.col("__total"),
         }
         try:
-            measure, expected, comparison = _evaluate(df, check)
+            measure, expected, comparison = evaluate(check)
             expected = F.lit(_number(expected, "expected value"))
         except _Unusable as reason:
             fields |= {"passed": F.lit(False), "error": F.lit(str(reason))}
@@ -193,11 +195,92 @@ def run_checks(
         rows.append(F.struct(*[
             fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REPORT
         ]))
+    return measures, rows
+
+
+def run_checks(
+    df: DataFrame, checks: Sequence[Mapping[str, Any]], table_name: str | None = None
+) -> DataFrame:
+    """One report row per check, from one aggregation over ``df``.
+
+    A check that cannot be evaluated gets a failed row with the reason; the others still run.
+    """
+    measures, rows = _assembled(checks, table_name, F.count(F.lit(1)), lambda c: _evaluate(df, c))
     if not rows:
         return df.sparkSession.createDataFrame([], REPORT)
     return df.agg(*measures).select(F.inline(F.array(*rows)))
 
 
+class CheckStates:
+    """The checks of a table as mergeable states (see :mod:`tarnkeep.operators.states`).
+
+    ``sample`` is a table of the checked one's schema; its rows are not read. Distinct counts are exact:
+    over keys, or over bitmaps for a check with ``dense`` (one whole-number column); with ``approximate``
+    they are estimated from sketches.
+    """
+
+    def __init__(self, sample: DataFrame, checks: Sequence[Mapping[str, Any]]) -> None:
+        self._sample, self._checks = sample, checks
+        self._sums: dict[str, Column] = {"rows": F.count(F.lit(1))}
+        self._keys: dict[str, Sequence[str]] = {}
+        self._dense: dict[str, str] = {}
+        self._sketches: dict[str, Sequence[str]] = {}
+        for position, check in enumerate(checks):
+            with suppress(_Unusable):
+                self._define(f"c{position}", check)
+
+    def _define(self, name: str, check: Mapping[str, Any]) -> None:
+        df, kind = self._sample, check.get("type")
+        if kind == "null_pct_lt":
+            column = _columns_of(df, check)[0]
+            self._sums[name] = F.count_if(is_blank(named(column), _type_of(df, column)))
+        elif kind in ("unique_keys", "no_duplicate_keys"):
+            columns = _columns_of(df, check)
+            if check.get("approximate") and kind == "unique_keys":
+                self._sketches[name] = columns
+            elif check.get("dense"):
+                if len(columns) > 1 or not isinstance(_type_of(df, columns[0]), T.IntegralType):
+                    raise _Unusable("dense keys are one whole-number column")
+                self._dense[name] = columns[0]
+            else:
+                self._keys[name] = columns
+        elif kind in ("value_range", "regex"):
+            self._sums[name] = _evaluate(df, check)[0]
+
+    @property
+    def signature(self) -> str:
+        return json.dumps([list(self._checks), self._sample.schema.jsonValue()], sort_keys=True, default=str)
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """The states of each part of ``df``, named in ``__part``."""
+        return states(df, self._sums, None, self._keys, self._dense, self._sketches)
+
+    def _measure(self, position: int, check: Mapping[str, Any]) -> tuple[Column, float, str]:
+        name, kind, rows = f"c{position}", check.get("type"), value_of("rows")
+        if kind not in ("unique_keys", "no_duplicate_keys"):
+            _, expected, comparison = _evaluate(self._sample, check)
+            if kind == "row_count_gt":
+                return rows, expected, comparison
+            if kind == "null_pct_lt":
+                share = F.coalesce(F.try_divide(value_of(name), rows) * 100.0, F.lit(0.0))
+                return share, expected, comparison
+            return value_of(name), expected, comparison
+        self._define(name, check)
+        if kind == "unique_keys":
+            return distinct_of(name), check.get("expected", 1), ">="
+        return rows - distinct_of(name), 0, "="
+
+    def report(self, rows: DataFrame, table_name: str | None = None) -> DataFrame:
+        """The report out of state rows of any parts, as :func:`run_checks` gives it over all rows."""
+        position = {id(c): i for i, c in enumerate(self._checks)}
+        measures, out = _assembled(
+            self._checks, table_name, value_of("rows"), lambda c: self._measure(position[id(c)], c)
+        )
+        if not out:
+            return rows.sparkSession.createDataFrame([], REPORT)
+        return one_row(rows).select(*measures).select(F.inline(F.array(*out)))
+
+
 def run_checks_on_table(
     spark: SparkSession, table: str, checks: Sequence[Mapping[str, Any]]
 ) -> DataFrame:

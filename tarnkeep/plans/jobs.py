@@ -15,17 +15,21 @@ from tarnkeep.operators.counts import (
     CONTROL, latest_entries, log_row_count, table_counts,
 )
 from tarnkeep.operators.dedup import distinct_rows, first_per_key
-from tarnkeep.operators.profiling import ddl, profile_tables
-from tarnkeep.operators.quality import run_config
+from tarnkeep.operators.profiling import ddl, profile_of_states, profile_states, profile_tables
+from tarnkeep.operators.quality import CheckStates, run_config
 from tarnkeep.operators.records import items_to_table
 from tarnkeep.operators.rules import Rule, annotate, order_rules
 from tarnkeep.operators.scd2 import scd2_advance, scd2_changes, scd2_rejects, scd2_stage
+from tarnkeep.operators.states import PART_OF
 from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
 from tarnkeep.session import materialize, temporary
 from tarnkeep.sinks.buckets import KeyBuckets
 from tarnkeep.sinks.history import HistoryStore
+from tarnkeep.sinks.states import PartStates
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
-from tarnkeep.sources.files import read_csv, read_csv_text, read_path, read_table
+from tarnkeep.sources.files import (
+    read_csv, read_csv_by_name, read_csv_text, read_path, read_table,
+)
 from tarnkeep.sources.rest import Fetch, http_fetch, page_items, read_pages
 
 # How the order keys are named from the clean table on.
@@ -223,6 +227,44 @@ def quality_job(
     return report
 
 
+def quality_states_job(
+    spark: SparkSession,
+    source: str,
+    checks: Sequence[Mapping[str, Any]],
+    store: PartStates,
+    table_name: str | None = None,
+    fmt: str = "parquet",
+    by: str = "folder",
+) -> DataFrame:
+    """The report on a folder of files; only parts that changed since the last report are read."""
+    sample = read_path(spark, source, fmt)
+    of_checks = CheckStates(sample, checks)
+    rows = store.refresh(spark, source, of_checks.of, of_checks.signature, by, fmt)
+    return of_checks.report(rows, table_name)
+
+
+def profile_states_job(
+    spark: SparkSession,
+    source: str,
+    store: PartStates,
+    ladder: str = "a",
+    table_name: str = "table",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The profile of a CSV file set; only files that are new or changed are read.
+
+    Files may differ in the order of their columns, and lack some.
+    """
+    def read(paths: list[str]) -> DataFrame:
+        return read_csv_by_name(spark, paths, options, file_as=PART_OF)
+
+    def compute(df: DataFrame) -> DataFrame:
+        return profile_states(df, ladder)
+
+    rows = store.refresh(spark, source, compute, f"profile {ladder}", "file", read=read)
+    return profile_of_states(rows, table_name)
+
+
 def definitions_job(
     spark: SparkSession,
     sources: Mapping[str, str | list[str]],

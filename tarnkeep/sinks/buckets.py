@@ -20,7 +20,6 @@ none is, nothing is committed.
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -34,6 +33,7 @@ from tarnkeep.operators.contracts import date_literal
 from tarnkeep.operators.scd2 import CURRENT, END, HASH, START
 from tarnkeep.operators.splice import CLOSED, KEPT, LOADED, SEEN, STATE, splice, with_absences
 from tarnkeep.session import temporary
+from tarnkeep.sinks.manifests import Manifests
 from tarnkeep.sources.files import _file_system, child_files
 
 BUCKET, PART = "history_bucket", "history_part"
@@ -74,25 +74,18 @@ class KeyBuckets:
 
     # ---- manifests ----
 
-    def _runs(self, spark: SparkSession) -> list[int]:
-        names = child_files(spark, f"{self.path}/manifest")
-        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+    def _manifests(self) -> Manifests:
+        return Manifests(f"{self.path}/manifest")
 
     def last_run(self, spark: SparkSession) -> int:
-        return max(self._runs(spark), default=0)
+        return max(self._manifests().runs(spark), default=0)
 
     def manifest(self, spark: SparkSession, run: int | None = None) -> Manifest:
         """The manifest of ``run`` (the latest if not given)."""
         run = self.last_run(spark) if run is None else run
         if not run:
             return Manifest(0, None, {})
-        file_system, place = _file_system(spark, f"{self.path}/manifest/{run}.json")
-        stream = file_system.open(place)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        told = json.loads(text)
+        told = self._manifests().read(spark, run)
         if told["keys"] != list(self.keys) or told["count"] != self.buckets:
             raise ValueError(f"{self.path} has keys {told['keys']} in {told['count']} buckets")
         return Manifest(
@@ -101,21 +94,10 @@ class KeyBuckets:
         )
 
     def _commit(self, spark: SparkSession, manifest: Manifest) -> None:
-        text = json.dumps({
+        self._manifests().commit(spark, manifest.run, {
             "keys": list(self.keys), "count": self.buckets, "schema": manifest.schema.jsonValue(),
             "buckets": {b: vars(v) for b, v in manifest.buckets.items()}, "written": manifest.written,
         })
-        target = f"{self.path}/manifest/{manifest.run}.json"
-        file_system, draft = _file_system(spark, f"{target}.draft")
-        stream = file_system.create(draft, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        # a rename onto a manifest that another load has committed meanwhile fails
-        place = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if file_system.exists(place) or not file_system.rename(draft, place):
-            raise RuntimeError(f"run {manifest.run} of {self.path} was committed by another load")
 
     # ---- reading ----
 
@@ -270,7 +252,7 @@ class KeyBuckets:
 
         Returns how many folders went.
         """
-        runs = self._runs(spark)
+        runs = self._manifests().runs(spark)
         kept = runs[-keep:]
         used = set()
         for run in kept:
@@ -287,8 +269,8 @@ class KeyBuckets:
                             file_system.delete(place, True)
                             gone += 1
         for run in runs[:-keep]:
-            file_system, place = _file_system(spark, f"{self.path}/manifest/{run}.json")
             # a later vacuum no longer knows what this run wrote: it must have nothing left
-            if all((run, part, b) not in used for part in ("current", "past") for b in self.manifest(spark, run).written):
-                file_system.delete(place, False)
+            written = self.manifest(spark, run).written
+            if all((run, part, b) not in used for part in ("current", "past") for b in written):
+                self._manifests().delete(spark, run)
         return gone

@@ -58,17 +58,22 @@ def read_csv_by_name(
     path: str | list[str],
     options: Mapping[str, str] | None = None,
     malformed: str | None = None,
+    file_as: str | None = None,
 ) -> DataFrame:
     """As :func:`read_csv_text`, for files whose headers differ in order or lack columns.
 
     Files are grouped by their header line, each group is read by its own header, and
     the groups are united by name. Each file is scanned once; a column that a file
-    lacks is null for its rows.
+    lacks is null for its rows. ``file_as`` names a column for the path of a row's file.
     """
+    def read(files: str | list[str]) -> DataFrame:
+        rows = read_csv_text(spark, files, options, malformed)
+        return rows if file_as is None else rows.select("*", F.col("_metadata.file_path").alias(file_as))
+
     groups = header_groups(spark, path, options)
     if len(groups) < 2:
-        return read_csv_text(spark, path, options, malformed)
-    parts = [read_csv_text(spark, group, options, malformed) for group in groups]
+        return read(path)
+    parts = [read(group) for group in groups]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     last = [malformed] if malformed is not None else []
     return whole.select(*[c for c in whole.columns if c not in last], *last)

@@ -464,6 +464,12 @@ ORACLES: dict[str, str] = {
     "regex_violations": """SELECT count(*) AS violations FROM customer
         WHERE NOT regexp_matches(c_name, '^Customer#\\d*[02468]$')""",
     "dq_report": _line_report(),
+    "dq_report_states": _line_report(),
+    "distinct_states": """SELECT 'pairs' AS metric, count(*) AS distinct_values
+          FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+        UNION ALL SELECT 'dates', count(DISTINCT l_shipdate) FROM lineitem
+        UNION ALL SELECT 'orders', count(DISTINCT l_orderkey) FROM lineitem
+        UNION ALL SELECT 'parts', count(DISTINCT l_partkey) FROM lineitem""",
     "dq_config": _config_report(),
     "column_cardinality": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values FROM lineitem"
@@ -500,6 +506,8 @@ ORACLES: dict[str, str] = {
     "etl_top20": f"""WITH {_CONTROL} SELECT * FROM control
         ORDER BY count_timestamp DESC, "Table_name" LIMIT 20""",
     "profile_a": f"WITH {_PROFILE_A} SELECT * FROM profiles",
+    "profile_csv_states": f"""WITH {_SNAPSHOTS}, {_profile(*_LADDER_A, sources=("snapshot_1",))}
+        SELECT * REPLACE ('sales' AS table_name) FROM profiles""",
     "profile_b": f"WITH {_PROFILE_B} SELECT * FROM profiles",
     "json_items": _EVENTS,
     "json_items_fallback": _EVENTS,

@@ -12,7 +12,7 @@ from tarnkeep import fixtures
 from tarnkeep.fixtures import FIRST_LOAD, LOGGED_AT, SECOND_LOAD, orders_like, table
 from tarnkeep.functions.text import clean_identifier, clean_text
 from tarnkeep.operators import (
-    contracts, counts, dedup, profiling, quality, records, rules, scd2,
+    contracts, counts, dedup, profiling, quality, records, rules, scd2, states,
 )
 from tarnkeep.plans import calendar, jobs, measures
 from tarnkeep.plans.tables import (
@@ -21,6 +21,7 @@ from tarnkeep.plans.tables import (
 from tarnkeep.session import materialize, scratch_dir, tune
 from tarnkeep.sinks.buckets import KeyBuckets
 from tarnkeep.sinks.history import HistoryTable
+from tarnkeep.sinks.states import PartStates
 from tarnkeep.sinks.tables import ensure_schema
 from tarnkeep.sources import files
 
@@ -305,6 +306,41 @@ def dq_report(spark, sf):
     return quality.run_checks(orders_like(spark, sf, _CHECKED), LINE_CHECKS, "order_lines")
 
 
+def _grown(rows: DataFrame, by: str) -> tuple[str, Callable[[], None]]:
+    """A folder with one half of the rows in folders by a column, and how the other half arrives."""
+    target = scratch_dir(rows.sparkSession)
+    write = lambda part: part.write.mode("append").partitionBy(by).parquet(target)
+    write(rows.filter(f"abs(hash({by})) % 2 = 0"))
+    return target, lambda: write(rows.filter(f"abs(hash({by})) % 2 = 1"))
+
+
+@query
+def dq_report_states(spark, sf):
+    """The report on a folder that has grown, from its parts' states."""
+    target, grow = _grown(orders_like(spark, sf, _CHECKED), "sales_channel")
+    store = PartStates(scratch_dir(spark))
+    for arrive in (lambda: None, grow):
+        arrive()
+        report = jobs.quality_states_job(spark, target, LINE_CHECKS, store, "order_lines")
+    return report
+
+
+@query
+def distinct_states(spark, sf):
+    """Exact distinct counts over keys and bitmaps, merged from the states of files."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_linenumber")
+    target, grow = _grown(lines, "l_linenumber")
+    store = PartStates(scratch_dir(spark))
+    keys = {"pairs": ["l_orderkey", "l_partkey"], "dates": ["l_shipdate"]}
+    dense = {"orders": "l_orderkey", "parts": "l_partkey"}
+    for arrive in (lambda: None, grow):
+        arrive()
+        rows = store.refresh(
+            spark, target, lambda df: states.states(df, keys=keys, dense=dense), "distinct", "file"
+        )
+    return states.merged(rows.filter("metric NOT LIKE '%|null'")).withColumnRenamed("value", "distinct_values")
+
+
 CUSTOMER_CHECKS = [
     {"type": "row_count_gt", "value": 1000000, "name": "many"},
     {"type": "value_range", "column": "c_acctbal", "min": 0, "name": "no_debt"},
@@ -470,6 +506,18 @@ def profile_b(spark, sf):
     return profiles.select("table_name", "column", "sql_type", "filled")
 
 
+@query
+def profile_csv_states(spark, sf):
+    """The profile of a CSV set that has grown by files with another column order."""
+    sales = fixtures.sales_snapshot_1(spark, sf)
+    target, store = scratch_dir(spark), PartStates(scratch_dir(spark))
+    for part, columns in enumerate((sales.columns, sales.columns[::-1])):
+        rows = sales.filter(f"transaction_id % 2 = {part}").select(*columns)
+        rows.write.option("header", True).mode("append").csv(target)
+        profiled = jobs.profile_states_job(spark, target, store, "a", "sales")
+    return profiled.select("table_name", "column", "sql_type", "filled")
+
+
 @query
 def profile_ddl(spark, sf):
     return profiling.ddl(profiling.profile_tables(_profiled(spark, sf), "a"), "landing")
