@@ -4,7 +4,7 @@ Format. Documents go in ascending doc_id order (nulls first, rows with one doc_i
 text). They are cut, at document ends, into segments of about ``SEGMENT`` ids. A segment is one
 record of a Parquet table, which Spark's own committed writers put on any store:
 
-- ``part``, ``number``, ``start``: its range of doc_ids, its place there, ids of the range before it;
+- ``part``, ``number``, ``start``: its range of documents, its place there, ids of the range before it;
 - ``doc_ids``, ``known``, ``lengths``: its documents;
 - ``table``: the frequency table that its blocks share: ids and scaled counts, deflated;
 - ``blocks``: independent blocks of ``BLOCK`` ids or fewer. Each has the checkpoint a decoder starts
@@ -23,13 +23,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnkeep.llm.common import (
-    as_bytes, bounds_of, doc_columns, id_text, materialize, part_count, per_text, range_of,
-)
+from tarnkeep.llm.common import as_bytes, doc_columns, materialize, part_count
 from tarnkeep.llm.tokens import FILE, encoder
 
 END = 2
@@ -145,100 +144,87 @@ _SEGMENTS = (
 )
 
 
-def encode(docs: DataFrame, file: str = FILE, segment: int = SEGMENT) -> DataFrame:
-    """Segments of the format, by ranges of doc_id."""
-    parts = part_count(docs.sparkSession)
-    docs = doc_columns(docs)
-    end = END.to_bytes(4, "little")
-
-    bounds = bounds_of(docs, parts)
-
-    def make():
-        def of(ids, texts):
-            # two bytes are enough for ids of small vocabularies on their way
-            out = []
-            for data in encoder(file).encode(as_bytes(texts)):
-                x = np.frombuffer(data + end, "<u4")
-                small = x.max() < 1 << 16
-                out.append((b"2" if small else b"4") + x.astype("<u2" if small else "<u4").tobytes())
-            return pd.DataFrame({"part": range_of(bounds, ids), "ids": out})
-
-        return of
-
-    made = per_text(make, "part int, ids binary", id_text(), "text").alias("made")
-    tokens = docs.select("doc_id", F.xxhash64("text").alias("h"), made).select(
-        "doc_id", "h", "made.part", "made.ids"
-    )
-    placed = tokens.repartitionById(parts, F.col("part") % parts).sortWithinPartitions(
-        "part", F.col("doc_id").asc_nulls_first(), "h", "ids"
-    ).select(
-        "part", F.coalesce("doc_id", F.lit(0)).alias("id"),
-        F.col("doc_id").isNotNull().alias("known"), "ids",
-    )
+def _segment_schema() -> pa.Schema:
+    block = pa.struct([
+        ("start", pa.int64()), ("length", pa.int64()), ("states", pa.binary()), ("payload", pa.binary()),
+        ("crc32", pa.int64()),
+    ])
+    return pa.schema([
+        ("part", pa.int32()), ("number", pa.int32()), ("start", pa.int64()), ("total", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())), ("known", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())),
+        ("table", pa.binary()), ("blocks", pa.list_(block)),
+    ])
+
 
-    def write(frames):
-        part, number, start, held, size = None, 0, 0, [], 0
+def encode(docs: DataFrame, file: str = FILE, segment: int = SEGMENT) -> DataFrame:
+    """Segments of the format, by ranges of documents.
+
+    Texts are shuffled and sorted by Spark, and tokenized where their segment is written. A range ends
+    anywhere, also among rows with one doc_id.
+    """
+    order = [F.asc_nulls_first("doc_id"), F.col("h"), F.col("r")]
+    sorted_docs = doc_columns(docs).select(
+        "*", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("r")
+    ).repartitionByRange(part_count(docs.sparkSession), *order).sortWithinPartitions(*order)
+    schema = _segment_schema()
+
+    def write(batches):
+        part, encoder_ = TaskContext.get().partitionId(), encoder(file)
+        number, start, held, size = 0, 0, [], 0
+        end = END.to_bytes(4, "little")
 
         def flush():
             nonlocal number, start, held, size
-            ids = np.concatenate([h[2] for h in held])
-            table, blocks = encode_segment(ids)
-            frame = pd.DataFrame({
-                "part": [part], "number": [number], "start": [start], "total": [size],
-                "doc_ids": [[h[0] for h in held]], "known": [[h[1] for h in held]],
-                "lengths": [[len(h[2]) for h in held]], "table": [table], "blocks": [blocks],
-            })
+            table, blocks = encode_segment(np.frombuffer(b"".join(h[1] for h in held), "<u4"))
+            row = {
+                "part": part, "number": number, "start": start, "total": size,
+                "doc_ids": [h[0] or 0 for h in held], "known": [h[0] is not None for h in held],
+                "lengths": [len(h[1]) // 4 for h in held], "table": table, "blocks": blocks,
+            }
             number, start, held, size = number + 1, start + size, [], 0
-            return frame
-
-        for frame in frames:
-            for p, doc, known, data in zip(
-                frame["part"], frame["id"], frame["known"], frame["ids"], strict=True
-            ):
-                if p != part:
-                    if held:
-                        yield flush()
-                    part, number, start = p, 0, 0
-                ids = np.frombuffer(data[1:], "<u2" if data[:1] == b"2" else "<u4")
-                held.append((int(doc), bool(known), ids.astype(np.uint32)))
-                size += len(ids)
+            return pa.RecordBatch.from_pylist([row], schema=schema)
+
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            texts = encoder_.encode(as_bytes(batch.column("text").to_pylist()))
+            for doc, data in zip(ids, texts, strict=True):
+                held.append((doc, data + end))
+                size += len(data) // 4 + 1
                 if size >= segment:
                     yield flush()
         if held:
             yield flush()
 
-    return placed.mapInPandas(write, _SEGMENTS)
+    return sorted_docs.select("doc_id", "text").mapInArrow(write, _SEGMENTS)
 
 
 def decode(segments: DataFrame) -> DataFrame:
     """doc_id, start (in its range), n_tokens, ids_crc32 and part of each document of a file."""
     schema = "id long, known boolean, start long, n_tokens long, ids_crc32 long, part int"
 
-    def read(frames):
-        for frame in frames:
-            for row in frame.itertuples():
-                ids = decode_segment(row.table, row.blocks)
-                lengths = np.asarray(row.lengths, dtype=np.int64)
-                ends = np.cumsum(lengths)
-                data = ids.tobytes()
-                yield pd.DataFrame({
-                    "id": np.asarray(row.doc_ids, dtype=np.int64),
-                    "known": np.asarray(row.known, dtype=bool),
-                    "start": row.start + ends - lengths, "n_tokens": lengths,
-                    "ids_crc32": [
-                        zlib.crc32(data[4 * (e - n) : 4 * e])
-                        for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)
-                    ],
-                    "part": row.part,
-                })
-
-    return segments.mapInPandas(read, schema)
+    def read(batches):
+        for batch in batches:
+            column = batch.column
+            for i in range(batch.num_rows):
+                data = decode_segment(column("table")[i].as_py(), column("blocks")[i].as_py()).tobytes()
+                lengths = column("lengths")[i].values
+                n = lengths.to_numpy()
+                ends = np.cumsum(n)
+                view = memoryview(data)
+                crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+                starts = column("start")[i].as_py() + ends - n
+                yield pa.RecordBatch.from_arrays([
+                    column("doc_ids")[i].values, column("known")[i].values, pa.array(starts), lengths,
+                    pa.array(crc, pa.int64()), pa.array(np.full(len(n), column("part")[i].as_py(), np.int32)),
+                ], names=["id", "known", "start", "n_tokens", "ids_crc32", "part"])
+
+    return segments.mapInArrow(read, schema)
 
 
 def round_trip(docs: DataFrame, file: str = FILE) -> DataFrame:
     """Write the file, read it back, and tell what each document is in it."""
     segments = materialize(encode(docs, file))
-    # one row a range of doc_ids, of which there are as many as shuffle partitions
+    # one row a range, of which there are as many as shuffle partitions
     sizes = sorted(
         (r["part"], r["n"]) for r in segments.groupBy("part").agg(F.sum("total").alias("n")).collect()
     )

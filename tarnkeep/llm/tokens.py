@@ -1,8 +1,8 @@
 """Token ids of whole texts, by a published tokenizer, one piece between white space at a time.
 
 The tokenizer splits at white space first, so the ids of a text are those of its pieces between
-ASCII white space, one after another. Ids of the first ``KEPT`` pieces met (about 200 bytes each)
-are kept by a Python worker for all its tasks; others are encoded anew in each batch. A text that
+ASCII white space, one after another. A Python worker keeps the ids of the pieces it has met for all its tasks;
+beyond ``KEPT`` pieces (about 200 bytes each) it forgets them and starts anew. A text that
 holds a special token's start ``<|`` is encoded whole.
 """
 
@@ -17,8 +17,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 FILE = "word_bpe_49k.json"
-#: Pieces whose ids a worker keeps.
-KEPT = 300_000
+#: Pieces whose ids a worker keeps at most, but for those of one batch.
+KEPT = 800_000
 _MARKED = re.compile(rb"[.,;:!?]\Z")
 #: Words of ASCII and Latin-1 letters: their lower case is plain, and they are composed already.
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
@@ -27,69 +27,69 @@ _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
+def _spelled(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+
+
+class _Pieces(dict):
+    """Ids of pieces; a piece that is not there yet is encoded when it is asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, direct: bool) -> None:
+        super().__init__()
+        self._encode, self._tokenize, self._direct = tokenizer.encode, tokenizer.model.tokenize, direct
+
+    def __missing__(self, piece: bytes) -> bytes:
+        # a word is encoded apart from one mark that follows it, and in lower case
+        stem = piece[:-1] if _MARKED.search(piece) else piece
+        word = stem.decode("utf-8", "surrogatepass")
+        if self._direct and _PLAIN(word):
+            low = word.lower()
+            key = low.encode()
+            ids = self.get(key)
+            if ids is None:
+                ids = self[key] = array("I", [t.id for t in self._tokenize(_spelled(low))]).tobytes()
+            if stem is not piece:
+                ids += self._ids(piece[-1:])
+        else:
+            ids = self._ids(piece)
+        self[piece] = ids
+        return ids
+
+    def _ids(self, piece: bytes) -> bytes:
+        ids = self.get(piece)
+        if ids is None:
+            text = piece.decode("utf-8", "surrogatepass")
+            ids = self[piece] = array("I", self._encode(text, add_special_tokens=False).ids).tobytes()
+        return ids
+
+
 class Encoder:
     """Ids as bytes, four for each id, little-endian."""
 
     def __init__(self, file: str = FILE) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
-        self._kept: dict[bytes, bytes] = {}
-        self._marks: dict[bytes, bytes] = {}
         # a word of plain letters is one piece of the model, if the tokenizer treats it as one
         sample = "thisisonewordoflettersçàßÿ"
-        self._direct = [t.id for t in self._tokenizer.model.tokenize(self._spelled(sample))] == (
+        direct = [t.id for t in self._tokenizer.model.tokenize(_spelled(sample))] == (
             self._tokenizer.encode(sample, add_special_tokens=False).ids
         )
-
-    @staticmethod
-    def _spelled(word: str) -> str:
-        return word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+        self._kept = _Pieces(self._tokenizer, direct)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in got]
 
-    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces; a word is encoded apart from one mark that follows it."""
-        kept, marks, out = self._kept, self._marks, {}
-        tokenize, rest = self._tokenizer.model.tokenize, []
-        for piece in missing:
-            stem, mark = piece, b""
-            if _MARKED.search(piece):
-                stem, mark = piece[:-1], piece[-1:]
-            word = stem.decode("utf-8", "surrogatepass")
-            if not (self._direct and _PLAIN(word)):
-                rest.append(piece)
-                continue
-            low = word.lower()
-            key = low.encode()
-            ids = kept.get(key) or out.get(key)
-            if ids is None:
-                ids = out[key] = array("I", [t.id for t in tokenize(self._spelled(low))]).tobytes()
-            if mark:
-                if mark not in marks:
-                    marks[mark] = self._whole([mark.decode()])[0]
-                ids += marks[mark]
-            out[piece] = ids
-        decoded = [s.decode("utf-8", "surrogatepass") for s in rest]
-        out.update(zip(rest, self._whole(decoded), strict=True))
-        return out
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [None if b"<|" in t else t.split() for t in texts]
         kept = self._kept
-        fresh = self._learn(set().union(*(s for s in split if s)).difference(kept))
-        room = KEPT - len(kept)
-        kept.update(fresh)
-        out = [
-            self._whole([text.decode("utf-8", "surrogatepass")])[0] if pieces is None
-            else b"".join(map(kept.__getitem__, pieces))
-            for text, pieces in zip(texts, split, strict=True)
+        if len(kept) > KEPT:
+            kept.clear()
+        get = kept.__getitem__
+        return [
+            self._whole([text.decode("utf-8", "surrogatepass")])[0] if b"<|" in text
+            else b"".join(map(get, text.split()))
+            for text in texts
         ]
-        for i, piece in enumerate(fresh):
-            if i >= room:
-                del kept[piece]
-        return out
 
 
 @lru_cache(maxsize=2)
