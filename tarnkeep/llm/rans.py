@@ -35,14 +35,21 @@ END = 2
 #: Bits of the scaled counts: more than ids in the vocabulary, for each needs one.
 SCALE = 20
 LOWEST = 1 << 31  # states stay at or above it, below it times 2**32
-LANES = 512
+LANES = 1024
+#: Ids below it are counted and looked up by place rather than by sorting.
+COUNTED = 1 << 22
 BLOCK = 1 << 18
 SEGMENT = 1 << 20
 
 
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and counts scaled to a sum of 2**SCALE, each at least 1."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    if len(ids) and ids.max() < COUNTED:
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
+    else:
+        symbols, counts = np.unique(ids, return_counts=True)
     total = 1 << SCALE
     if not len(symbols):
         return symbols, counts
@@ -111,7 +118,12 @@ def encode_segment(ids: np.ndarray) -> tuple[bytes, list[dict]]:
     symbols, counts = frequency_table(ids)
     starts = np.cumsum(counts) - counts
     head = np.stack([symbols, counts]).astype("<u4").tobytes()
-    places = np.searchsorted(symbols, ids)
+    if len(symbols) and symbols[-1] < COUNTED:
+        place_of = np.zeros(int(symbols[-1]) + 1, dtype=np.int64)
+        place_of[symbols] = np.arange(len(symbols))
+        places = place_of[ids]
+    else:
+        places = np.searchsorted(symbols, ids)
     blocks = []
     for at in range(0, len(ids), BLOCK):
         part = ids[at : at + BLOCK]
