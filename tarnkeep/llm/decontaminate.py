@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tarnkeep.llm.common import as_bytes, doc_columns, per_text
 
 WINDOW = 13
+#: Words from which on a span goes from any document.
+LONGEST = 50
 BLOCK_WORDS = 200_000
 _WORD = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A
@@ -201,7 +203,9 @@ def _matches(block) -> Column:
 
 
 def hits(docs: DataFrame, blocks: list) -> DataFrame:
-    """``docs`` with the struct ``hits``: n_words, n_hit, spans (in words), items."""
+    """``row``, a document's columns, and the struct ``hits``: n_words, n_hit, spans (in words), items."""
+    # the row as one column: no name of its own can clash with ours
+    docs = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     names = [f"__block_{i}" for i in range(len(blocks))]
     for name, block in zip(names, blocks, strict=True):
         docs = docs.withColumn(name, _matches(block))
@@ -235,7 +239,7 @@ def hits(docs: DataFrame, blocks: list) -> DataFrame:
         F.col(names[0])["n_words"].alias("n_words"), n_hit.alias("n_hit"), spans.alias("spans"),
         items.alias("items"),
     )
-    return docs.withColumn("hits", together).drop(*names)
+    return docs.select("row", together.alias("hits"))
 
 
 def is_contaminated(share: int = 20) -> Column:
@@ -243,12 +247,28 @@ def is_contaminated(share: int = 20) -> Column:
     return (F.col("hits.n_hit") > 0) & (share * F.col("hits.n_hit") >= F.col("hits.n_words"))
 
 
+def kept_documents(docs: DataFrame, blocks: list) -> DataFrame:
+    """The documents that are not contaminated, as they are."""
+    return hits(docs, blocks).filter(~is_contaminated()).select("row.*")
+
+
+def without_passages(docs: DataFrame, blocks: list, longest: int = LONGEST) -> DataFrame:
+    """All documents, their texts without the spans that exceed a limit.
+
+    A span of ``longest`` words or more goes, and every span of a contaminated document does.
+    """
+    marked = hits(docs, blocks)
+    names = [_without(longest).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return marked.select(*names)
+
+
 def report(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     marked = hits(doc_columns(docs), automata(benchmark, block_words=block_words))
     return marked.select(
-        "doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
+        "row.doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "hits.items"), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
+        F.sha2(F.coalesce(_without(LONGEST), F.lit("")), 256).alias("kept_sha256"),
     )
 
 
@@ -269,15 +289,19 @@ def removed_spans(text: str, spans) -> str:
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def without_hits() -> Column:
-    """``text`` less its hit spans (column ``hits``)."""
+def _without(longest: int) -> Column:
+    """The text less the spans that exceed a limit."""
+    gone = F.filter("hits.spans", lambda s: is_contaminated() | (s["end"] - s["start"] >= longest))
+    text = F.col("row.text").cast("string")
 
     def make():
         def of(texts, spans):
             return pd.DataFrame({"text": [
-                removed_spans(t, s) if len(s) else t for t, s in zip(texts, spans, strict=True)
+                None if t is None else removed_spans(t, s) for t, s in zip(texts, spans, strict=True)
             ]})
 
         return of
 
-    return per_text(make, "text string", "text", F.col("hits.spans"))["text"]
+    # only texts that lose something go to Python
+    cut = per_text(make, "text string", F.when(F.size(gone) > 0, text), gone)["text"]
+    return F.coalesce(cut, text)

@@ -261,6 +261,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = near_duplicates(docs).groupBy("component").agg(F.min(first).alias("k")).select(
         F.col("k.__id").alias("__id"), F.col("k.__h").alias("__h")
     )
-    names = docs.columns
-    own = docs.select("*", *_key()).join(kept, ["__id", "__h"], "left_semi")
-    return own.dropDuplicates(["__id", "__h"]).select(*names)
+    # the row as one column: no name of its own can clash with ours
+    own = docs.select(F.struct("*").alias("row"), *_key()).join(kept, ["__id", "__h"], "left_semi")
+    return own.dropDuplicates(["__id", "__h"]).select("row.*")
