@@ -8,8 +8,8 @@ language with the highest sum (and log share of documents) is predicted; the sco
 posterior probability.
 
 Every word and n-gram of the training documents is known, however rare. The ``HOT`` most frequent
-words, or fewer, are broadcast as a shortcut; documents look all others up by a join on the word. Words
-that no training document has are scored once each, by a join of their n-grams.
+words, or fewer, are broadcast as packed arrays, as a shortcut; documents look all others up by a join on the word's 64-bit
+hash. Words that no training document has are scored once each, by a join of their n-grams.
 
 Words are runs between white space, lower-cased, less the ASCII characters around them that are no
 letters. Null texts and texts without a letter get ``und`` and score 0, as do all texts if nothing
@@ -22,9 +22,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ from tarnkeep.llm.common import crc_of_id, materialize
 
 LONGEST = 5
 #: Words that are broadcast, at most.
-HOT = 100_000
+HOT = 1 << 19
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
 _EDGES = bytes(c for c in range(128) if not chr(c).isalpha())
@@ -58,16 +61,10 @@ def _labelled(docs: DataFrame) -> DataFrame:
     return rows.filter((crc_of_id(FOLDS) != HELD) & F.col("lang").isNotNull())
 
 
-def _logs(counts: list[Column], totals: list[int], kinds: int) -> Column:
-    """Log frequencies by language from counts; ``kinds``: how many are known in all."""
+def _log(count: Column, total: int, kinds: int) -> Column:
+    """Log frequency from a count; ``kinds``: how many are known in all."""
     kinds = 0.5 * max(1, kinds)
-    return F.array(*[
-        F.log((c + 0.5) / F.lit(max(1.0, float(t)) + kinds)) for c, t in zip(counts, totals, strict=True)
-    ])
-
-
-def _sums(vector: Column, size: int) -> Column:
-    return F.array(*[F.sum(vector[i]) for i in range(size)])
+    return F.log((count + 0.5) / F.lit(max(1.0, float(total)) + kinds))
 
 
 def recognisable(text: Column) -> Column:
@@ -81,96 +78,83 @@ def recognisable(text: Column) -> Column:
 
 
 class Languages:
-    """What training documents say: tables of log frequencies ``v``, one entry for each language."""
+    """What training documents say: ``words`` and ``grams`` with log frequencies v0, v1, ... by language."""
 
     def __init__(self, docs: DataFrame) -> None:
-        counted = self._counted(docs)
-        is_word = F.length("word") > 0
-        stats = counted.groupBy("lang").agg(
-            F.sum(F.when(~is_word, F.col("n"))).alias("documents"),
-            F.coalesce(F.sum(F.when(is_word, F.col("n"))), F.lit(0)).alias("words"),
-        ).collect()
-        stats = sorted(stats, key=lambda r: r["lang"])
-        self.languages = [r["lang"] for r in stats]
-        if not stats:
+        labelled = _labelled(docs)
+        counted = sorted((r["lang"], r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect())
+        self.languages = [lang for lang, _ in counted]
+        if not counted:
             return
-        documents = np.array([r["documents"] or 0 for r in stats], dtype=float)
-        self.prior = np.log(documents / max(1, documents.sum()))
-        words = counted.filter(is_word)
-        wide = materialize(self._wide(words, "word"))
-        kinds, self.words = wide.count(), wide
-        self.words = wide.select(
-            "word", "n", _logs(self._counts(), [r["words"] for r in stats], kinds).alias("v")
-        )
-        grams_ = materialize(self._wide(self._gram_counts(words), "size", "gram"))
-        sums = {r["size"]: r for r in grams_.groupBy("size").agg(
-            F.count("*").alias("kinds"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(stats))]
-        ).collect()}
-        v = F.lit(None)
-        for size, r in sums.items():
-            totals = [r[f"c{i}"] for i in range(len(stats))]
-            v = F.when(F.col("size") == size, _logs(self._counts(), totals, r["kinds"])).otherwise(v)
-        self.grams = grams_.select("size", "gram", v.alias("v"))
-
-    def _counts(self) -> list[Column]:
-        return [F.col(f"c{i}") for i in range(len(self.languages))]
-
-    def _wide(self, rows: DataFrame, *key: str) -> DataFrame:
-        return rows.groupBy(*key).agg(F.sum("n").alias("n"), *[
-            F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"c{i}")
-            for i, lang in enumerate(self.languages)
-        ])
+        documents = np.array([n for _, n in counted], dtype=float)
+        self.prior = np.log(documents / documents.sum())
+        wide = materialize(self._counted(labelled))
+        totals = wide.agg(F.count("*").alias("kinds"), *self._sums("c")).first()
+        self.words = wide.select("word", F.xxhash64("word").alias("h"), "n", *(
+            _log(F.col(f"c{i}"), totals[f"c{i}"] or 0, totals["kinds"]).alias(f"v{i}") for i in self._range()
+        ))
+        found = materialize(self._gram_counts(wide))
+        sums = {r["size"]: r for r in found.groupBy("size").agg(F.count("*").alias("kinds"), *self._sums("c")).collect()}
+
+        def by_size(i: int) -> Column:
+            v = F.lit(None).cast("double")
+            for size, r in sums.items():
+                v = F.when(F.col("size") == size, _log(F.col(f"c{i}"), r[f"c{i}"], r["kinds"])).otherwise(v)
+            return v
+
+        self.grams = found.select("size", "gram", *(by_size(i).alias(f"v{i}") for i in self._range()))
+
+    def _range(self) -> range:
+        return range(len(self.languages))
+
+    def _sums(self, name: str) -> list[Column]:
+        return [F.sum(f"{name}{i}").alias(f"{name}{i}") for i in self._range()]
+
+    def _counted(self, labelled: DataFrame) -> DataFrame:
+        """word, n, c0, c1, ...: each word's counts in all training documents."""
 
-    @staticmethod
-    def _counted(docs: DataFrame) -> DataFrame:
         def count(frames):
             counts: dict[str, Counter] = defaultdict(Counter)
-            documents: Counter = Counter()
 
             def made():
-                frame = pd.DataFrame(
-                    [(k, w, n) for k, c in counts.items() for w, n in c.items()]
-                    + [(k, b"", n) for k, n in documents.items()],
-                    columns=["lang", "word", "n"],
-                )
+                rows = [(k, w, n) for k, c in counts.items() for w, n in c.items()]
                 counts.clear()
-                documents.clear()
-                return frame
+                return pd.DataFrame(rows, columns=["lang", "word", "n"])
 
             for frame in frames:
                 for lang, text in zip(frame["lang"], frame["text"], strict=True):
                     counts[lang].update(words(text or ""))
-                    documents[lang] += 1
                 if sum(map(len, counts.values())) > 300_000:
                     yield made()
             yield made()
 
-        return materialize(
-            _labelled(docs).select("lang", "text")
-            .mapInPandas(count, "lang string, word binary, n long")
-            .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-        )
+        rows = labelled.select("lang", "text").mapInPandas(count, "lang string, word binary, n long")
+        return rows.groupBy("word").agg(F.sum("n").alias("n"), *(
+            F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"c{i}")
+            for i, lang in enumerate(self.languages)
+        ))
+
+    def _gram_counts(self, wide: DataFrame) -> DataFrame:
+        names = [f"c{i}" for i in self._range()]
 
-    @staticmethod
-    def _gram_counts(counted: DataFrame) -> DataFrame:
         def of_words(frames):
             for frame in frames:
-                for lang, part in frame.groupby("lang"):
-                    data, begins = grams.lines(list(part["word"]))
-                    weights = part["n"].to_numpy(np.int64)[grams.word_of(len(data), begins)]
-                    for size in range(1, LONGEST + 1):
-                        keys, ends = grams.grams(data, begins, size)
-                        keys, n = grams.summed(keys, weights[ends])
-                        yield pd.DataFrame(
-                            {"lang": lang, "size": size, "gram": keys.view(np.int64), "n": n}
-                        )
-
-        return counted.mapInPandas(of_words, "lang string, size int, gram long, n long").groupBy(
-            "lang", "size", "gram"
-        ).agg(F.sum("n").alias("n"))
-
-    def hot(self, most: int) -> dict[bytes, list[float]]:
-        """Log frequencies of the most frequent words, ``most`` of them or fewer."""
+                data, begins = grams.lines(list(frame["word"]))
+                word = grams.word_of(len(data), begins)
+                weights = frame[names].to_numpy(np.int64)
+                for size in range(1, LONGEST + 1):
+                    keys, ends = grams.grams(data, begins, size)
+                    keys, counts = grams.summed(keys, weights[word[ends]])
+                    made = pd.DataFrame(counts, columns=names)
+                    made.insert(0, "gram", keys.view(np.int64))
+                    made.insert(0, "size", size)
+                    yield made
+
+        schema = "size int, gram long, " + ", ".join(f"{c} long" for c in names)
+        return wide.select("word", *names).mapInPandas(of_words, schema).groupBy("size", "gram").agg(*self._sums("c"))
+
+    def hot(self, most: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The most frequent words, ``most`` of them or fewer: their bytes, ends, and log frequencies."""
         sizes = self.words.groupBy("n").agg(F.count("*").alias("c")).collect()  # distinct counts only
         least, room = None, most
         for r in sorted(sizes, reverse=True):
@@ -178,13 +162,16 @@ class Languages:
             if room < 0:
                 break
             least = r["n"]
+        names = [f"v{i}" for i in self._range()]
         if least is None:
-            return {}
-        rows = self.words.filter(F.col("n") >= least).select("word", "v").toLocalIterator()
-        return {bytes(r["word"]): r["v"] for r in rows}
+            return b"", np.zeros(0, np.int64), np.zeros((0, len(names)))
+        found = self.words.filter(F.col("n") >= least).select("word", *names).toArrow()
+        held = found.column("word").to_pylist()
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)))
+        return b"".join(held), ends, np.stack([found.column(c).to_numpy() for c in names], axis=1)
 
-    def unseen(self, distinct: DataFrame) -> DataFrame:
-        """word, v: means over a word's bytes of the longest known n-grams' log frequencies.
+    def unseen(self, new: DataFrame) -> DataFrame:
+        """h, v0, v1, ... of words (h, word): means over a word's bytes of the longest known n-grams' log frequencies.
 
         An n-gram known nowhere says nothing. So a word counts as much as its rarest-known part, not
         as all of its parts together.
@@ -194,28 +181,70 @@ class Languages:
             for frame in frames:
                 data, begins = grams.lines(list(frame["word"]))
                 word, place = grams.word_of(len(data), begins), grams.place_in_word(len(data), begins)
-                lengths = np.diff(begins)
+                lengths, h = np.diff(begins), frame["h"].to_numpy()
                 for size in range(1, LONGEST + 1):
                     keys, ends = grams.grams(data, begins, size)
                     keep = place[ends] > 0  # nothing ends before the first byte
                     keys, ends = keys[keep].view(np.int64), ends[keep]
                     yield pd.DataFrame({
-                        "word": frame["word"].to_numpy()[word[ends]], "bytes": lengths[word[ends]],
-                        "place": place[ends], "size": size, "gram": keys,
+                        "h": h[word[ends]], "bytes": lengths[word[ends]], "place": place[ends],
+                        "size": size, "gram": keys,
                     })
 
-        places = distinct.mapInPandas(split, "word binary, bytes long, place long, size int, gram long")
+        places = new.mapInPandas(split, "h long, bytes long, place long, size int, gram long")
         short = F.col("size") <= 2  # at most 2**16 + 2**8 n-grams, each in many words
         found = places.filter(~short).join(self.grams.filter(~short), ["size", "gram"]).unionByName(
             places.filter(short).join(F.broadcast(self.grams.filter(short)), ["size", "gram"])
         )
-        longest = found.groupBy("word", "bytes", "place").agg(F.max_by("v", "size").alias("v"))
-        n = len(self.languages)
-        summed = longest.groupBy("word", "bytes").agg(_sums(F.col("v"), n).alias("s"))
-        scored = summed.select(
-            "word", F.transform("s", lambda x: x / F.col("bytes")).alias("v")
-        )
-        return scored
+        vector = F.struct(*(f"v{i}" for i in self._range()))
+        longest = found.groupBy("h", "bytes", "place").agg(F.max_by(vector, "size").alias("v"))
+        return longest.groupBy("h", "bytes").agg(
+            *(F.sum(F.col("v")[f"v{i}"]).alias(f"s{i}") for i in self._range())
+        ).select("h", *((F.col(f"s{i}") / F.col("bytes")).alias(f"v{i}") for i in self._range()))
+
+
+_ROWS = (
+    "doc_id long, held_out boolean, learned boolean, row long, total array<double>,"
+    " h array<long>, times array<int>, new array<binary>"
+)
+
+
+def _partly(batches, packed, prior: np.ndarray):
+    """Documents with the sums of their frequent words; the other words' hashes and counts.
+
+    Words that may be new, those of documents not learned from, come along themselves.
+    """
+    data, ends, vectors = packed
+    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    known = {data[a:b]: i for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True))}
+    get, digest = known.get, xxhash.xxh64_intdigest
+    base = TaskContext.get().partitionId() << 36
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        learned = batch.column("learned").to_pylist()
+        judged = [t is not None and has_letter(t) for t in texts]
+        counts = [Counter(words(t)) if j else {} for t, j in zip(texts, judged, strict=True)]
+        sizes = np.fromiter(map(len, counts), np.int64, len(counts))
+        at = np.fromiter((get(w, -1) for c in counts for w in c), np.int64, sizes.sum())
+        times = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int64, sizes.sum())
+        doc = np.repeat(np.arange(len(counts)), sizes)
+        total = np.tile(prior, (len(counts), 1))
+        here = at >= 0
+        for i in range(len(prior)):
+            total[:, i] += np.bincount(doc[here], vectors[at[here], i] * times[here], len(counts))
+        rare = [[w for w in c if w not in known] for c in counts]
+        offsets = pa.array(np.append(0, np.cumsum(np.fromiter(map(len, rare), np.int64, len(rare)))), pa.int32())
+        hashes = np.fromiter((digest(w, 42) for r in rare for w in r), np.uint64, int((~here).sum())).view(np.int64)
+        sums = np.append(0, np.cumsum(np.where(judged, len(prior), 0)))
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), batch.column("held_out"), batch.column("learned"),
+            pa.array(base + np.arange(len(texts))),
+            pa.ListArray.from_arrays(pa.array(sums, pa.int32()), pa.array(total[np.array(judged, bool)].ravel())),
+            pa.ListArray.from_arrays(offsets, pa.array(hashes)),
+            pa.ListArray.from_arrays(offsets, pa.array(times[~here], pa.int32())),
+            pa.array([[] if k else r for k, r in zip(learned, rare, strict=True)], pa.list_(pa.binary())),
+        ], names=["doc_id", "held_out", "learned", "row", "total", "h", "times", "new"])
+        base += len(texts)
 
 
 def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -233,48 +262,23 @@ def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
         )
     frequent = spark.sparkContext.broadcast(model.hot(hot))
     prior = model.prior
-
-    def partly(frames):
-        known = frequent.value
-        base = TaskContext.get().partitionId() << 36
-        for frame in frames:
-            sums, asked = [], []
-            for text in frame["text"]:
-                total, rare = np.zeros(0), []
-                if isinstance(text, str) and has_letter(text):
-                    counted = Counter(words(text))
-                    rare = [(w, c) for w, c in counted.items() if w not in known]
-                    here = [(known[w], c) for w, c in counted.items() if w in known]
-                    total = prior.copy()
-                    if here:
-                        total += np.array([c for _, c in here], float) @ np.array([v for v, _ in here])
-                sums.append(total)
-                asked.append([{"word": w, "times": c} for w, c in rare])
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].astype("Int64"), "row": base + np.arange(len(frame)),
-                "held_out": frame["held_out"], "learned": frame["learned"], "total": sums, "asked": asked,
-            })
-            base += len(frame)
-
     learned = (~F.col("held_out") & F.col("lang").isNotNull()).alias("learned")
     rows = materialize(
-        texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "held_out", learned)
-        .mapInPandas(
-            partly,
-            "doc_id long, row long, held_out boolean, learned boolean, total array<double>,"
-            " asked array<struct<word:binary,times:long>>",
-        )
+        texts.select("doc_id", "text", "held_out", learned)
+        .mapInArrow(lambda batches: _partly(batches, frequent.value, prior), _ROWS)
+    )
+    vector = [f"v{i}" for i in range(n)]
+    asked = rows.select("row", F.inline(F.arrays_zip("h", "times")))
+    new = rows.select(F.explode("new").alias("word")).distinct().select(F.xxhash64("word").alias("h"), "word")
+    unseen = model.unseen(new.join(model.words.select("h"), "h", "left_anti"))
+    vectors = model.words.select("h", *vector).unionByName(unseen)
+    more = asked.join(vectors, "h").groupBy(F.col("row").alias("r")).agg(
+        *(F.sum(F.col(v) * F.col("times")).alias(v) for v in vector)
     )
-    asked = rows.select("row", "learned", F.explode("asked").alias("a")).select(
-        "row", "learned", "a.word", "a.times"
+    total = F.transform(
+        "total", lambda x, i: x + F.coalesce(F.get(F.array(*vector), i), F.lit(0.0))
     )
-    new = asked.filter(~F.col("learned")).select("word").distinct().join(model.words, "word", "left_anti")
-    vectors = model.words.select("word", "v").unionByName(model.unseen(new))
-    looked_up = asked.join(vectors, "word").select(
-        F.col("row").alias("r"), F.transform("v", lambda x: x * F.col("times")).alias("v")
-    ).groupBy("r").agg(_sums(F.col("v"), n).alias("more"))
-    total = F.coalesce(F.zip_with("total", "more", lambda x, y: x + y), F.col("total"))
-    judged = rows.join(looked_up, rows["row"] == looked_up["r"], "left").withColumn("total", total)
+    judged = rows.join(more, rows["row"] == more["r"], "left").withColumn("total", total)
     best = F.array_max("total")
     names = F.array(*[F.lit(x) for x in model.languages])
     odds = F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp(x - best))
