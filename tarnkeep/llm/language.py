@@ -9,7 +9,8 @@ posterior probability.
 
 Every word and n-gram of the training documents is known, however rare. The ``HOT`` most frequent
 words, or fewer, are broadcast as packed arrays, as a shortcut; documents look all others up by a join on the word's 64-bit
-hash. Words that no training document has are scored once each, by a join of their n-grams.
+hash. Words that no training document has are scored once each by their n-grams: from the ``HOT`` most frequent n-grams, packed
+alike, where these tell all places of a word, and by a join of all its n-grams where they don't.
 
 Words are runs between white space, lower-cased, less the ASCII characters around them that are no
 letters. Null texts and texts without a letter get ``und`` and score 0, as do all texts if nothing
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -36,7 +38,7 @@ from tarnkeep.llm import grams
 from tarnkeep.llm.common import crc_of_id, materialize
 
 LONGEST = 5
-#: Words that are broadcast, at most.
+#: Words that are broadcast, at most, and n-grams.
 HOT = 1 << 19
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
@@ -102,7 +104,8 @@ class Languages:
                 v = F.when(F.col("size") == size, _log(F.col(f"c{i}"), r[f"c{i}"], r["kinds"])).otherwise(v)
             return v
 
-        self.grams = found.select("size", "gram", *(by_size(i).alias(f"v{i}") for i in self._range()))
+        n = reduce(Column.__add__, [F.col(f"c{i}") for i in self._range()])
+        self.grams = found.select("size", "gram", n.alias("n"), *(by_size(i).alias(f"v{i}") for i in self._range()))
 
     def _range(self) -> range:
         return range(len(self.languages))
@@ -153,29 +156,76 @@ class Languages:
         schema = "size int, gram long, " + ", ".join(f"{c} long" for c in names)
         return wide.select("word", *names).mapInPandas(of_words, schema).groupBy("size", "gram").agg(*self._sums("c"))
 
-    def hot(self, most: int) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """The most frequent words, ``most`` of them or fewer: their bytes, ends, and log frequencies."""
-        sizes = self.words.groupBy("n").agg(F.count("*").alias("c")).collect()  # distinct counts only
+    def _vectors(self, table: DataFrame, key: list[str], most: int) -> tuple[pa.Table, np.ndarray, bool]:
+        """The most frequent rows, ``most`` of them or fewer, their log frequencies, and whether these are all."""
+        sizes = table.groupBy("n").agg(F.count("*").alias("c")).collect()  # distinct counts only
         least, room = None, most
         for r in sorted(sizes, reverse=True):
             room -= r["c"]
             if room < 0:
                 break
             least = r["n"]
-        names = [f"v{i}" for i in self._range()]
-        if least is None:
-            return b"", np.zeros(0, np.int64), np.zeros((0, len(names)))
-        found = self.words.filter(F.col("n") >= least).select("word", *names).toArrow()
-        held = found.column("word").to_pylist()
-        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)))
-        return b"".join(held), ends, np.stack([found.column(c).to_numpy() for c in names], axis=1)
+        kept = table.filter(F.lit(False) if least is None else F.col("n") >= least)
+        found = kept.select(*key, *(f"v{i}" for i in self._range())).toArrow()
+        vectors = np.stack([found.column(f"v{i}").to_numpy() for i in self._range()], axis=1)
+        return found, vectors, room >= 0
 
-    def unseen(self, new: DataFrame) -> DataFrame:
+    def hot(self, most: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The most frequent words: their bytes, ends, and log frequencies."""
+        found, vectors, _ = self._vectors(self.words, ["word"], most)
+        held = found.column("word").to_pylist()
+        return b"".join(held), np.cumsum(np.fromiter(map(len, held), np.int64, len(held))), vectors
+
+    def hot_grams(self, most: int) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], bool]:
+        """By size the most frequent n-grams in order and their log frequencies, and whether these are all."""
+        found, vectors, whole = self._vectors(self.grams, ["size", "gram"], most)
+        size, gram = found.column("size").to_numpy(), found.column("gram").to_numpy().view(np.uint64)
+        out = {}
+        for s in range(1, LONGEST + 1):
+            here = np.flatnonzero(size == s)
+            here = here[np.argsort(gram[here])]
+            out[s] = (gram[here], vectors[here])
+        return out, whole
+
+    def unseen(self, new: DataFrame, hot: int) -> DataFrame:
         """h, v0, v1, ... of words (h, word): means over a word's bytes of the longest known n-grams' log frequencies.
 
         An n-gram known nowhere says nothing. So a word counts as much as its rarest-known part, not
         as all of its parts together.
         """
+        names = [f"v{i}" for i in self._range()]
+        tables, whole = self.hot_grams(hot)
+        packed = new.sparkSession.sparkContext.broadcast(tables)
+
+        def told(frames):
+            """Words whose places all end with n-grams of the packed ones; others come along as they are."""
+            for frame in frames:
+                data, begins = grams.lines(list(frame["word"]))
+                word, place = grams.word_of(len(data), begins), grams.place_in_word(len(data), begins)
+                vectors, is_open = np.zeros((len(data), len(names))), np.zeros(len(data), dtype=bool)
+                for size in range(1, LONGEST + 1):
+                    keys, ends = grams.grams(data, begins, size)
+                    keep = place[ends] > 0  # nothing ends before the first byte
+                    keys, ends = keys[keep], ends[keep]
+                    known, values = packed.value[size]
+                    at = grams.find(known, keys)
+                    vectors[ends[at >= 0]] = values[at[at >= 0]]
+                    # a longer one may be known, though it is not packed
+                    is_open[ends] = (at < 0) & (not whole)
+                starts = begins[:-1]
+                sums = np.add.reduceat(vectors, starts) / np.diff(begins)[:, None]
+                left = np.logical_or.reduceat(is_open, starts)
+                made = pd.DataFrame(sums, columns=names)
+                made.insert(0, "word", frame["word"].where(pd.Series(left), None))
+                made.insert(0, "h", frame["h"])
+                yield made
+
+        scored = materialize(new.mapInPandas(told, "h long, word binary, " + ", ".join(f"{v} double" for v in names)))
+        done = scored.filter("word IS NULL").select("h", *names)
+        return done if whole else done.unionByName(self._joined(scored.filter("word IS NOT NULL").select("h", "word")))
+
+    def _joined(self, new: DataFrame) -> DataFrame:
+        """As :meth:`unseen`, by a join with all n-grams."""
 
         def split(frames):
             for frame in frames:
@@ -184,7 +234,7 @@ class Languages:
                 lengths, h = np.diff(begins), frame["h"].to_numpy()
                 for size in range(1, LONGEST + 1):
                     keys, ends = grams.grams(data, begins, size)
-                    keep = place[ends] > 0  # nothing ends before the first byte
+                    keep = place[ends] > 0
                     keys, ends = keys[keep].view(np.int64), ends[keep]
                     yield pd.DataFrame({
                         "h": h[word[ends]], "bytes": lengths[word[ends]], "place": place[ends],
@@ -193,8 +243,8 @@ class Languages:
 
         places = new.mapInPandas(split, "h long, bytes long, place long, size int, gram long")
         short = F.col("size") <= 2  # at most 2**16 + 2**8 n-grams, each in many words
-        found = places.filter(~short).join(self.grams.filter(~short), ["size", "gram"]).unionByName(
-            places.filter(short).join(F.broadcast(self.grams.filter(short)), ["size", "gram"])
+        found = places.filter(~short).join(self.grams.filter(~short).drop("n"), ["size", "gram"]).unionByName(
+            places.filter(short).join(F.broadcast(self.grams.filter(short).drop("n")), ["size", "gram"])
         )
         vector = F.struct(*(f"v{i}" for i in self._range()))
         longest = found.groupBy("h", "bytes", "place").agg(F.max_by(vector, "size").alias("v"))
@@ -270,7 +320,7 @@ def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
     vector = [f"v{i}" for i in range(n)]
     asked = rows.select("row", F.inline(F.arrays_zip("h", "times")))
     new = rows.select(F.explode("new").alias("word")).distinct().select(F.xxhash64("word").alias("h"), "word")
-    unseen = model.unseen(new.join(model.words.select("h"), "h", "left_anti"))
+    unseen = model.unseen(new.join(model.words.select("h"), "h", "left_anti"), hot)
     vectors = model.words.select("h", *vector).unionByName(unseen)
     more = asked.join(vectors, "h").groupBy(F.col("row").alias("r")).agg(
         *(F.sum(F.col(v) * F.col("times")).alias(v) for v in vector)
