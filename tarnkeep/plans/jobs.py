@@ -25,6 +25,7 @@ from tarnkeep.plans.tables import ORDER_DEDUP_KEYS, ORDERS, HistorySpec
 from tarnkeep.session import materialize, temporary
 from tarnkeep.sinks.buckets import KeyBuckets
 from tarnkeep.sinks.history import HistoryStore
+from tarnkeep.sinks.pages import PageStore
 from tarnkeep.sinks.states import PartStates
 from tarnkeep.sinks.tables import ensure_table, write_path, write_report, write_table
 from tarnkeep.sources.files import (
@@ -198,20 +199,29 @@ def rest_ingest_job(
     schema: str | None = None,
     fetch: Fetch = http_fetch,
     fmt: str = "parquet",
+    store: PageStore | None = None,
 ) -> int:
     """Fetch all pages, turn their records into a table and append it; returns its row count.
 
     The bodies are landed first, so every page is asked for once, whatever happens afterwards;
-    then their records are, so that bodies are parsed once.
+    then their records are, so that bodies are parsed once. With a ``store`` they stay landed: a run after a
+    failure goes on with the first page that is not there, and one after success appends nothing.
     """
-    with (
-        temporary(read_pages(spark, options, fetch)) as landed,
-        temporary(page_items(landed, options).select("item")) as items,
-    ):
-        count = items.count()
-        if count:
-            write_path(items_to_table(items, schema), target, "append", fmt)
-        return count
+    def appended(landed: DataFrame) -> int:
+        with temporary(page_items(landed, options).select("item")) as items:
+            count = items.count()
+            if count:
+                write_path(items_to_table(items, schema), target, "append", fmt)
+            return count
+
+    if store is None:
+        with temporary(read_pages(spark, options, fetch)) as landed:
+            return appended(landed)
+    known = store.ingested(spark)
+    if known is None:
+        known = appended(store.land(spark, options, fetch))
+        store.mark_ingested(spark, known)
+    return known
 
 
 def quality_job(

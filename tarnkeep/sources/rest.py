@@ -3,12 +3,17 @@
 The endpoints are the partitions. Numbered pages of one endpoint are dealt out over further
 partitions; a next link or a continuation token is only known from the page before, so those
 pages stay in one partition per endpoint. Bodies are handed on page by page, never gathered.
+
+A failed request is tried again (``retries``) after a wait that doubles. Each page comes with the
+cursor of the one after it, from which a later read can go on (:mod:`tarnkeep.sinks.pages`).
 """
 
 from __future__ import annotations
 
 import json
 import sys
+import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping
@@ -40,6 +45,12 @@ DEFAULTS = {
     "timeout": "30",
     "parallelism": "8",
     "max_pages": "0",
+    "retries": "1",
+    "retry_wait": "1",
+    # where to go on: cursors by feed and lane; pages a feed gives at most; failures as rows
+    "cursors": "",
+    "round_pages": "0",
+    "land_errors": "false",
 }
 
 PROTOCOLS = ("None", "NextLink", "PageNumber", "Token")
@@ -82,13 +93,30 @@ def _is_empty(document: Any, items_path: str) -> bool:
     return found == []
 
 
+def _may_pass(error: Exception) -> bool:
+    """Whether a request that failed so is worth another try."""
+    if isinstance(error, urllib.error.HTTPError):
+        return error.code in (408, 429) or error.code >= 500
+    return isinstance(error, OSError)
+
+
 @dataclass
 class Feed(InputPartition):
-    """The pages one task reads: an endpoint, its first page and the step between pages."""
+    """The pages one task reads: an endpoint, its first page and the step between pages.
+
+    ``page`` pages were read before, and ``cursor`` tells the next: a link, a token or a number.
+    """
 
     url: str
     first: int = 0
     step: int = 1
+    page: int = 0
+    cursor: str | None = None
+
+
+def lane_of(url: str, first: int) -> str:
+    """What names a feed among those of all endpoints."""
+    return json.dumps([url, first])
 
 
 class RestPagesReader(DataSourceReader):
@@ -102,56 +130,84 @@ class RestPagesReader(DataSourceReader):
 
     def partitions(self) -> list[Feed]:
         if self.options["pagination"] != "PageNumber":
-            return [Feed(url) for url in self.urls]
-        first, tasks = int(self.options["start_page"]), int(self.options["parallelism"])
-        return [Feed(url, first + i, tasks) for url in self.urls for i in range(tasks)]
-
-    def read(self, feed: Feed) -> Iterator[tuple[str, int, str, bool]]:
+            feeds = [Feed(url) for url in self.urls]
+        else:
+            first, tasks = int(self.options["start_page"]), int(self.options["parallelism"])
+            feeds = [Feed(url, first + i, tasks) for url in self.urls for i in range(tasks)]
+        known = json.loads(self.options["cursors"] or "{}")
+        for feed in feeds:
+            feed.page, feed.cursor = known.get(lane_of(feed.url, feed.first), (0, None))
+        # a feed that has been read to its end has a cursor that is false
+        return [f for f in feeds if f.cursor is not False]
+
+    def read(self, feed: Feed) -> Iterator[tuple]:
         pages = {
             "None": self._single, "NextLink": self._linked,
             "PageNumber": self._numbered, "Token": self._tokens,
         }[self.options["pagination"]]
-        limit = int(self.options["max_pages"])
+        limit, in_round = int(self.options["max_pages"]), int(self.options["round_pages"])
         numbered = self.options["pagination"] == "PageNumber"
         last = limit + (int(self.options["start_page"]) - 1 if numbered else 0)
-        for page, body, empty in pages(feed):
-            if limit and page > last:
-                raise ValueError(f"{feed.url}: more than {limit} pages")
-            yield feed.url, page, body, empty
+        land_errors = self.options["land_errors"] == "true"
+        given, cursor, found = 0, feed.cursor, pages(feed)
+        while not in_round or given < in_round:
+            try:
+                page, body, empty, following = next(found)
+                if limit and page > last:
+                    raise ValueError(f"{feed.url}: more than {limit} pages")
+            except StopIteration:
+                return
+            except Exception as error:
+                if not land_errors:
+                    raise
+                # what was read before is kept; a later read goes on from here
+                yield feed.url, None, None, None, feed.first, cursor, f"{type(error).__name__}: {error}"
+                return
+            given, cursor = given + 1, following
+            yield feed.url, page, body, empty, feed.first, following, None
 
     def _get(self, url: str) -> tuple[str, Any, bool]:
-        body = self.fetch(url, self.options)
+        tries, wait = int(self.options["retries"]), float(self.options["retry_wait"])
+        for attempt in range(tries + 1):
+            try:
+                body = self.fetch(url, self.options)
+                break
+            except Exception as error:
+                if attempt == tries or not _may_pass(error):
+                    raise
+                time.sleep(wait * 2**attempt)
         document = json.loads(body)
         return body, document, _is_empty(document, self.options["items_json_path"])
 
     def _single(self, feed: Feed):
         body, _, empty = self._get(feed.url)
-        yield 1, body, empty
+        yield 1, body, empty, None
 
     def _numbered(self, feed: Feed):
-        page, empty = feed.first, False
+        page, empty = int(feed.cursor or feed.first), False
         while not empty:
             body, _, empty = self._get(with_params(feed.url, {
                 self.options["page_param"]: page,
                 self.options["page_size_param"]: self.options["page_size"],
             }))
-            yield page, body, empty
-            page += feed.step
+            following = page + feed.step
+            yield page, body, empty, None if empty else str(following)
+            page = following
 
     def _linked(self, feed: Feed):
-        url, page, visited = feed.url, 0, set()
+        url, page, visited = feed.cursor or feed.url, feed.page, set()
         while url:
             if url in visited:
                 raise ValueError(f"{feed.url}: the next link {url} was read before")
             visited.add(url)
             page += 1
             body, document, empty = self._get(url)
-            yield page, body, empty
             following = _at(document, self.options["next_link_json_path"]) or _at(document, "next")
-            url = following and urllib.parse.urljoin(url, following)
+            url = (following and urllib.parse.urljoin(url, following)) or None
+            yield page, body, empty, url
 
     def _tokens(self, feed: Feed):
-        token, page, used = None, 0, set()
+        token, page, used = feed.cursor, feed.page, set()
         while True:
             if token in used:
                 raise ValueError(f"{feed.url}: the next token {token} was used before")
@@ -161,8 +217,9 @@ class RestPagesReader(DataSourceReader):
             if token:
                 params[self.options["token_param"]] = token
             body, document, empty = self._get(with_params(feed.url, params))
-            yield page, body, empty
-            token = _at(document, self.options["next_token_path"])
+            following = _at(document, self.options["next_token_path"])
+            token = str(following) if following else None
+            yield page, body, empty, token
             if not token:
                 break
 
@@ -176,7 +233,9 @@ def rest_source(fetch: Fetch = http_fetch, name: str = "rest_pages") -> type[Dat
             return name
 
         def schema(self) -> str:
-            return "feed STRING, page BIGINT, body STRING, is_empty BOOLEAN"
+            return (
+                "feed STRING, page BIGINT, body STRING, is_empty BOOLEAN, lane INT, following STRING, error STRING"
+            )
 
         def reader(self, schema) -> DataSourceReader:
             return RestPagesReader(self.options, fetch)
