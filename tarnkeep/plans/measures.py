@@ -96,6 +96,121 @@ def _results(has: Mapping[str, Column]) -> dict[str, Column]:
     }
 
 
+#: How summaries of one order or customer merge, where they are not summed.
+_MERGED = {"shipped": F.max, "cancelled": F.max, "lowest": F.min, "highest": F.max}
+_OF_A_KEY = ("shipped", "cancelled", "lowest", "highest", "with_order", "lines")
+NOT_ORDER = "__not_order"
+
+
+class Grains:
+    """The steps from rows to measures: summaries per order and customer, totals, measures.
+
+    Summaries of one key merge, and totals of disjoint keys add up, so both can be kept and
+    brought up to date without the rows they came from.
+    """
+
+    def __init__(
+        self,
+        names: Sequence[str] | None = None,
+        dims: Sequence[str] = (),
+        statuses: Mapping[str, str] = STATUSES,
+    ) -> None:
+        self.names = list(MEASURES) if names is None else list(names)
+        unknown = [n for n in self.names if n not in MEASURES]
+        if unknown:
+            raise ValueError(f"unknown measures: {unknown}")
+        wanted, self.dims = set(self.names), list(dims)
+        self.by_order = bool(wanted & (set(ORDER_MEASURES) | set(BOTH_MEASURES)))
+        self.by_customer = bool(wanted & (set(CUSTOMER_MEASURES) | set(BOTH_MEASURES)))
+        self._parts = _row_parts(wanted)
+        # worked out once per row, before rows are copied for a second grain
+        self._derived = {}
+        if "discount" in self._parts:
+            units = F.col("quantity").cast("bigint") * F.col("discount_pct")
+            self._derived["__discount"] = (units * F.col("unit_price")).cast("decimal(31,2)")
+        if wanted & {"Shipped Orders", "Fulfillment Rate"}:
+            self._derived["__shipped"] = _status_is(statuses["shipped"]).cast("int")
+            self._parts["shipped"] = F.max("__shipped")
+        if wanted & {"Cancelled Orders", "Cancel Rate"}:
+            self._derived["__cancelled"] = _status_is(statuses["cancelled"]).cast("int")
+            self._parts["cancelled"] = F.max("__cancelled")
+        self.grains = [
+            column
+            for column, used in (("__order", self.by_order), ("__customer", self.by_customer))
+            if used
+        ]
+        if "Repeat Customers" in wanted:
+            self._parts["lowest"] = F.min("order_id")
+            self._parts["highest"] = F.max("order_id")
+            self._parts["with_order"] = F.count("order_id")
+            self._parts["lines"] = F.count(F.lit(1))
+
+    @property
+    def keys(self) -> list[str]:
+        """The columns that identify a summary."""
+        return [*self.dims, *self.grains, *([NOT_ORDER] if len(self.grains) == 2 else [])]
+
+    def summaries(self, df: DataFrame) -> DataFrame:
+        """One row per order and one per customer within the dims (per dims if neither is needed)."""
+        df = df.withColumns(self._derived) if self._derived else df
+        aggregates = [c.alias(n) for n, c in self._parts.items()]
+        if not self.grains:
+            return df.groupBy(*self.dims).agg(*aggregates)
+        keyed = df.withColumns({"__order": F.col("order_id"), "__customer": F.col("customer_id")})
+        if len(self.grains) == 2:
+            sets = [[*self.dims, g] for g in self.grains]
+            return keyed.groupingSets(sets, *self.dims, *self.grains).agg(
+                F.grouping("__order").alias(NOT_ORDER), *aggregates
+            )
+        return keyed.groupBy(*self.dims, *self.grains).agg(*(aggregates or [F.lit(1).alias("__one")]))
+
+    def merged(self, summaries: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+        """Summaries with one row per key again; ``within`` are columns that the keys decide."""
+        if not self._parts:
+            return summaries.distinct()
+        kept = summaries.groupBy(*within, *self.keys).agg(
+            *(_MERGED.get(n, F.sum)(n).alias(n) for n in self._parts)
+        )
+        # sums keep the types they had
+        return kept.select(*within, *self.keys, *(
+            F.col(n).cast(summaries.schema[n].dataType).alias(n) for n in self._parts
+        ))
+
+    def totals(self, summaries: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+        """Totals by the dims, from summaries with one row per key."""
+        both = len(self.grains) == 2
+        is_order = F.col(NOT_ORDER) == 0 if both else F.lit(True)
+        is_customer = F.col(NOT_ORDER) == 1 if both else F.lit(True)
+        # row totals are taken from one grain only
+        row_grain = is_order if self.by_order else is_customer
+        summed = {
+            n: F.sum(F.when(row_grain, F.col(n))).alias(n) for n in self._parts if n not in _OF_A_KEY
+        }
+        if self.by_order:
+            summed["orders"] = F.count_if(is_order).alias("orders")
+            for status in ("shipped", "cancelled"):
+                if status in self._parts:
+                    summed[status] = F.count_if(is_order & (F.col(status) == 1)).alias(status)
+        if self.by_customer:
+            summed["customers"] = F.count_if(is_customer).alias("customers")
+        if "lowest" in self._parts:
+            several = (F.col("lowest") != F.col("highest")) | (
+                (F.col("with_order") > 0) & (F.col("with_order") < F.col("lines"))
+            )
+            summed["repeaters"] = F.count_if(is_customer & several).alias("repeaters")
+        return summaries.groupBy(*within, *self.dims).agg(*summed.values())
+
+    def added(self, totals: DataFrame) -> DataFrame:
+        """Totals of disjoint keys added up by the dims."""
+        names = [c for c in totals.columns if c not in self.dims]
+        return totals.groupBy(*self.dims).agg(*(F.sum(n).alias(n) for n in names))
+
+    def project(self, totals: DataFrame) -> DataFrame:
+        return _project(totals, self.names, self.dims, {
+            n: F.col(n) for n in totals.columns if n not in self.dims
+        })
+
+
 def measures(
     df: DataFrame,
     names: Sequence[str] | None = None,
@@ -110,78 +225,10 @@ def measures(
     hot order, customer or dimension value costs one row per task. Only the grains that the
     wanted measures need are formed.
     """
-    names = list(MEASURES) if names is None else list(names)
-    unknown = [n for n in names if n not in MEASURES]
-    if unknown:
-        raise ValueError(f"unknown measures: {unknown}")
-    wanted, dims = set(names), list(dims)
-
-    by_order = bool(wanted & (set(ORDER_MEASURES) | set(BOTH_MEASURES)))
-    by_customer = bool(wanted & (set(CUSTOMER_MEASURES) | set(BOTH_MEASURES)))
-    parts = _row_parts(wanted)
-
-    # worked out once per row, before rows are copied for a second grain
-    derived = {}
-    if "discount" in parts:
-        units = F.col("quantity").cast("bigint") * F.col("discount_pct")
-        derived["__discount"] = (units * F.col("unit_price")).cast("decimal(31,2)")
-    if wanted & {"Shipped Orders", "Fulfillment Rate"}:
-        derived["__shipped"] = _status_is(statuses["shipped"]).cast("int")
-        parts["shipped"] = F.max("__shipped")
-    if wanted & {"Cancelled Orders", "Cancel Rate"}:
-        derived["__cancelled"] = _status_is(statuses["cancelled"]).cast("int")
-        parts["cancelled"] = F.max("__cancelled")
-    df = df.withColumns(derived) if derived else df
-
-    if not (by_order or by_customer):
-        totals = df.groupBy(*dims).agg(*[c.alias(n) for n, c in parts.items()])
-        return _project(totals, names, dims, {n: F.col(n) for n in parts})
-
-    grains = [
-        column
-        for column, used in (("__order", by_order), ("__customer", by_customer))
-        if used
-    ]
-    keyed = df.withColumns(
-        {"__order": F.col("order_id"), "__customer": F.col("customer_id")}
-    )
-    if "Repeat Customers" in wanted:
-        parts["lowest"] = F.min("order_id")
-        parts["highest"] = F.max("order_id")
-        parts["with_order"] = F.count("order_id")
-        parts["lines"] = F.count(F.lit(1))
-    aggregates = [c.alias(n) for n, c in parts.items()]
-
-    if len(grains) == 2:
-        first = keyed.groupingSets([[*dims, g] for g in grains], *dims, *grains).agg(
-            F.grouping("__order").alias("__not_order"), *aggregates
-        )
-        is_order, is_customer = F.col("__not_order") == 0, F.col("__not_order") == 1
-    else:
-        first = keyed.groupBy(*dims, *grains).agg(*(aggregates or [F.lit(1).alias("__one")]))
-        is_order = is_customer = F.lit(True)
-
-    # row totals are taken from one grain only
-    row_grain = is_order if by_order else is_customer
-    summed = {
-        n: F.sum(F.when(row_grain, F.col(n))).alias(n)
-        for n in parts
-        if n not in ("shipped", "cancelled", "lowest", "highest", "with_order", "lines")
-    }
-    if by_order:
-        summed["orders"] = F.count_if(is_order).alias("orders")
-        for status in ("shipped", "cancelled"):
-            if status in parts:
-                summed[status] = F.count_if(is_order & (F.col(status) == 1)).alias(status)
-    if by_customer:
-        summed["customers"] = F.count_if(is_customer).alias("customers")
-    if "lowest" in parts:
-        several = (F.col("lowest") != F.col("highest")) | (
-            (F.col("with_order") > 0) & (F.col("with_order") < F.col("lines"))
-        )
-        summed["repeaters"] = F.count_if(is_customer & several).alias("repeaters")
-    totals = first.groupBy(*dims).agg(*summed.values())
-    return _project(totals, names, dims, {n: F.col(n) for n in summed})
+    grains = Grains(names, dims, statuses)
+    summaries = grains.summaries(df)
+    # without grains the summaries are the totals
+    return grains.project(grains.totals(summaries) if grains.grains else summaries)
 
 
 def _project(

@@ -607,3 +607,4 @@ ORACLES["csv_definitions"] = _definitions(
     "('mixed_orders', 'padded', 0), ('mixed_orders', 'mixed', 1), ('mixed_orders', 'blanks', 2),"
     " ('mixed_orders', 'flag', 3), ('some_labels', 'doc_id', 0), ('some_labels', 'quality', 1)",
 )
+ORACLES["measures_appended"] = ORACLES["measures_core"]

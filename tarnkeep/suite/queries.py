@@ -15,6 +15,7 @@ from tarnkeep.operators import (
     contracts, counts, dedup, profiling, quality, records, rules, scd2, states,
 )
 from tarnkeep.plans import calendar, jobs, measures
+from tarnkeep.plans.grains import MeasureStore
 from tarnkeep.plans.tables import (
     ORDER_DEDUP_KEYS, ORDERS, PROMOTION_HISTORY, SALES, SALES_HISTORY,
 )
@@ -59,6 +60,16 @@ def measures_core(spark, sf):
     return measures.measures(orders_like(spark, sf, _CORE_COLUMNS), CORE)
 
 
+@query
+def measures_appended(spark, sf):
+    """Measures kept over three loads, one of them sent twice."""
+    lines = orders_like(spark, sf, _CORE_COLUMNS)
+    store = MeasureStore(scratch_dir(spark), CORE, buckets=16)
+    for part in (0, 1, 2, 1):
+        store.append(lines.filter(f"abs(hash(quantity, unit_price, discount_pct)) % 3 = {part}"), f"load {part}")
+    return store.measures(spark)
+
+
 @query
 def measures_by_dim(spark, sf):
     orders = orders_like(spark, sf, [*_CORE_COLUMNS, "region"])
