@@ -71,12 +71,7 @@ def _log(count: Column, total: int, kinds: int) -> Column:
 
 def recognisable(text: Column) -> Column:
     """Whether a text has a letter; false for null."""
-
-    @F.pandas_udf("boolean")
-    def judge(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: isinstance(t, str) and has_letter(t)).astype(bool)
-
-    return judge(text.cast("string"))
+    return F.coalesce(text.cast("string").rlike(r"\p{L}"), F.lit(False))
 
 
 class Languages:
