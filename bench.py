@@ -35,7 +35,8 @@ HEADLINE = (
     "dq_report", "column_cardinality", "scd2_first_load", "scd2_second_load", "scd2_changes",
     "scd2_counts", "promo_scd2", "profile_a", "json_items", "json_items_fallback",
     "json_items_inferred", "csv_contract", "medallion_job", "cleansing_job_clean",
-    "sales_history_job", "quality_job",
+    "sales_history_job", "quality_job", "sales_history_dated", "sales_calendar_by_customer",
+    "dq_report_states", "measures_appended", "profile_csv_states", "csv_mixed_headers",
 )
 
 
