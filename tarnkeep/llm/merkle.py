@@ -7,9 +7,10 @@ children's hashes, so equal roots mean equal texts, and unequal ones are followe
 leaves that differ.
 
 The fingerprint is the tree as text: the root (32 hex digits), then for each section its hash, its
-paragraphs and their leaves with lengths. Likeness is read from two fingerprints alone: the share of
-characters in leaves that both trees hold, where equal branches count whole and only differing
-ones are opened.
+paragraphs and their leaves with lengths. Edits and likeness are read from two fingerprints alone:
+equal branches are aligned in order, level by level, and only what lies between them is opened. So
+moved, inserted and deleted leaves are located in both texts. Likeness is the share of characters in
+aligned leaves, and 1 for equal roots only.
 
 Null counts as the empty text. Equal texts have equal fingerprints, and likeness 1. Documents follow
 each other by doc_id, nulls first, and rows with one doc_id by a hash of their text; after the last
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -74,51 +77,95 @@ def fingerprint(text: str | None) -> str:
     return f"{root}|{';'.join(parts)}"
 
 
-def _section_leaves(section: str) -> Counter:
-    return Counter(x for p in section[17:].split("/") if p for x in p.split("_"))
+def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of equal entries, ascending in both lists.
 
+    The nth occurrence of an entry meets the nth one of the other list; of these pairs a longest ascending row stays.
+    """
+    places: dict[str, deque[int]] = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, deque()).append(j)
+    pairs = [(i, places[x].popleft()) for i, x in enumerate(a) if places.get(x)]
+    ends: list[int] = []  # the smallest end in b of an ascending row of each length
+    last: list[int] = []  # the pair it belongs to
+    before: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(ends, j)
+        before.append(last[at - 1] if at else -1)
+        if at == len(ends):
+            ends.append(j)
+            last.append(k)
+        else:
+            ends[at], last[at] = j, k
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
+
+
+def _gaps(a: list[str], b: list[str]) -> Iterator[tuple[int, int, int, int]]:
+    """Ranges of both lists between aligned entries."""
+    i = j = 0
+    for x, y in [*_aligned(a, b), (len(a), len(b))]:
+        if x > i or y > j:
+            yield i, x, j, y
+        i, j = x + 1, y + 1
+
+
+def _paragraphs(sections: list[str]) -> list[str]:
+    return [p for s in sections for p in s[17:].split("/")]
+
+
+def _leaves(paragraphs: list[str]) -> list[str]:
+    return [x for p in paragraphs for x in p.split("_") if x]
+
+
+def _length(leaves: list[str]) -> int:
+    return sum(int(x.rpartition(".")[2], 16) for x in leaves)
 
-def _size(leaves: Counter) -> int:
-    return sum(int(x.rpartition(".")[2], 16) * n for x, n in leaves.items())
+
+def edits(a: str, b: str) -> list[tuple[int, int, int, int]]:
+    """Where two fingerprints' texts differ: leaves from, to of ``a`` stand for leaves from, to of ``b``.
+
+    An empty range of ``a`` is an insertion, one of ``b`` a deletion; a moved leaf is one of each.
+    """
+    if a[:32] == b[:32]:
+        return []
+    left, right = (list(filter(None, x[33:].split(";"))) for x in (a, b))
+    # leaves before each section, and within a gap before each paragraph
+    starts = [np.cumsum([0, *(len(_leaves(_paragraphs([s]))) for s in side)]).tolist() for side in (left, right)]
+    out = []
+    for i, x, j, y in _gaps(left, right):
+        ps, qs = _paragraphs(left[i:x]), _paragraphs(right[j:y])
+        p_starts, q_starts = (np.cumsum([0, *(len(_leaves([p])) for p in side)]).tolist() for side in (ps, qs))
+        for k, u, m, v in _gaps(ps, qs):
+            from_a, from_b = starts[0][i] + p_starts[k], starts[1][j] + q_starts[m]
+            for c, d, e, f in _gaps(_leaves(ps[k:u]), _leaves(qs[m:v])):
+                out.append((from_a + c, from_a + d, from_b + e, from_b + f))
+    return out
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of both texts' characters that lie in leaves of both trees, from 0 to 1."""
+    """Share of both texts' characters that lie in aligned leaves of both trees, from 0 to 1."""
     if a[:32] == b[:32]:
         return 1.0
-    left, right = (Counter(filter(None, x[33:].split(";"))) for x in (a, b))
-    common = left & right
-    shared = sum((_size(_section_leaves(s)) * n for s, n in common.items()), 0)
-    total = 2 * shared
-    rest = []
-    for side in (left - common, right - common):
-        leaves: Counter = Counter()
-        for s, n in side.items():
-            for x, k in _section_leaves(s).items():
-                leaves[x] += n * k
-        rest.append(leaves)
-        total += _size(leaves)
-    shared += _size(rest[0] & rest[1])
-    return 2 * shared / total if total else 1.0
+    left, right = (list(filter(None, x[33:].split(";"))) for x in (a, b))
+    apart = whole = 0
+    for side in (left, right):
+        whole += _length(_leaves(_paragraphs(side)))
+    for i, x, j, y in _gaps(left, right):
+        ps, qs = _paragraphs(left[i:x]), _paragraphs(right[j:y])
+        for k, u, m, v in _gaps(ps, qs):
+            xs, ys = _leaves(ps[k:u]), _leaves(qs[m:v])
+            for c, d, e, f in _gaps(xs, ys):
+                apart += _length(xs[c:d]) + _length(ys[e:f])
+    return (whole - apart) / whole if whole else 1.0
 
 
 def differing(a: str, b: str) -> list[int]:
-    """Numbers of the leaves of ``a`` that ``b`` lacks: where an edit took place."""
-    if a[:32] == b[:32]:
-        return []
-    held: Counter = Counter()
-    for s in filter(None, b[33:].split(";")):
-        held += _section_leaves(s)
-    out, at = [], 0
-    for s in filter(None, a[33:].split(";")):
-        for p in s[17:].split("/"):
-            for x in filter(None, p.split("_")):
-                if held[x] > 0:
-                    held[x] -= 1
-                else:
-                    out.append(at)
-                at += 1
-    return out
+    """Numbers of the leaves of ``a`` that have no place in ``b``."""
+    return [n for start, end, _, _ in edits(a, b) for n in range(start, end)]
 
 
 def edited(text: str, following: str) -> str:

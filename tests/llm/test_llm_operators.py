@@ -484,6 +484,44 @@ def test_merkle_branches_locate_edits():
     assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("x")) == 0
 
 
+def test_edits_are_located():
+    """Replacing the leaves that edits name turns one text's leaves into the other's."""
+    rng = random.Random(17)
+
+    def leaves(text):
+        return [x for section in merkle.tree(text) for paragraph in section for x in paragraph]
+
+    def check(a, b):
+        x, y = merkle.fingerprint(a), merkle.fingerprint(b)
+        old, new, made, at = leaves(a), leaves(b), [], 0
+        found = merkle.edits(x, y)
+        for start, end, low, high in found:
+            made += [*old[at:start], *new[low:high]]
+            at = end
+        assert [*made, *old[at:]] == new
+        assert (x == y) == (not found) == (merkle.likeness(x, y) == 1)
+        assert merkle.likeness(x, y) == pytest.approx(merkle.likeness(y, x), abs=0.3)
+        return found
+
+    lines = [f"Line {i} says one. And two of {i}!\n" if i % 7 else f"# Head {i}\n" for i in range(60)]
+    text = "".join(lines)
+    assert check(text, text) == []
+    # a deletion, an insertion, a swap of two sentences, a moved paragraph
+    without, more = "".join(lines[:20] + lines[21:]), "".join(lines[:20] + ["New here.\n"] + lines[20:])
+    (deleted,), (inserted,) = check(text, without), check(text, more)
+    assert deleted[1] > deleted[0] and deleted[2] == deleted[3]
+    assert inserted[0] == inserted[1] and inserted[3] > inserted[2]
+    assert len(check("One. Two. Three.", "Two. One. Three.")) == 2
+    assert len(check(text, "".join([*lines[1:30], lines[0], *lines[30:]]))) == 2
+    for _ in range(150):
+        a = [rng.choice(["x.", "y! ", "z\n", "\n", "# h\n", "w w? "]) for _ in range(rng.randint(0, 30))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 3)] = [rng.choice(["x.", "new. ", "\n"])] * rng.randint(0, 2)
+        check("".join(a), "".join(b))
+
+
 def test_span_places_in_code_points_and_untouched_runs():
     rng = random.Random(3)
     for _ in range(200):
