@@ -1,11 +1,18 @@
 """Secret scans: stated patterns, and formats learned from what they find by grammar inference.
 
 The patterns label credentials. From a bounded sample of them (``SAMPLE`` values of each kind, those
-with the smallest hashes over the whole corpus, up to ``LEARNED`` bytes of each) a prefix tree per kind is built and its states are
-merged while their outgoing frequencies agree within a Hoeffding bound (ALERGIA), which leaves a
-probabilistic automaton. Every other run of credential characters in every text is scored by each
-automaton; a run becomes a span of kind ``format`` if its likelihood per character is at least
-that of the labelled values' lowest per cent and above that of ordinary runs.
+with the smallest hashes over the whole corpus, up to ``LEARNED`` bytes of each; a value that is cut
+teaches no end) an automaton per kind is inferred (ALERGIA). Nodes of the prefix tree with fewer than
+``EVIDENCE`` values say too little by themselves; those of one depth are taken together, so that a
+format keeps its length. States are then merged while their outgoing frequencies, the end among them,
+agree within a Hoeffding bound; a merge folds what follows as well, and is given up where the counts
+so far disagree. States with fewer than ``EVIDENCE`` values are left as they are.
+
+Every run of credential characters in every text that is not wholly inside base spans, and has the
+length of the shortest learned value or more, is scored by each automaton. A run becomes a span of
+kind ``format`` if its likelihood per character is at least that of the lowest per cent of labelled
+values, each scored by an automaton learned without it (``PARTS`` parts in turn), and above that of
+ordinary runs.
 
 Nulls, empty texts and texts without runs have no spans. Rows are independent of each other, so
 repeated rows give equal results; an empty table gives an empty result and learns nothing, then
@@ -14,7 +21,6 @@ only the patterns count. Columns other than doc_id and text are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import math
 import re
@@ -37,6 +43,7 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _HEX = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdef", np.uint8))
 _RUN = np.isin(np.arange(256), np.frombuffer(_ALNUM + b"+/_=-", np.uint8))
+_DOT = ord(".")
 
 #: Credentials of each kind, and ordinary runs, that the automata are learned from.
 SAMPLE = 400
@@ -44,19 +51,25 @@ SAMPLE = 400
 LEARNED = 4096
 #: Bytes up to which a scored value is remembered by its task.
 REMEMBERED = 256
-#: The shortest run that is scored.
-SHORTEST = 20
+#: The shortest value of a pattern, and so the shortest run that can be one.
+SHORTEST = 6
+#: Values that a state needs to be compared with others, or to stand for itself.
+EVIDENCE = 25
+#: Characters after which a format's positions are no longer told apart.
+DEPTH = 128
 #: Merge test: a lower value merges more.
 ALPHA = 0.05
+#: Parts of the labelled values that are scored by what the other parts teach.
+PARTS = 4
 
 
-def _runs(a: np.ndarray, kind: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes of a kind with ``least`` bytes or more."""
-    if len(a) < least:
+def _runs(inside: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Maximal runs of marked places with ``least`` places or more."""
+    if len(inside) < least:
         return []
-    inside = np.zeros(len(a) + 2, dtype=np.int8)
-    inside[1:-1] = kind[a]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    marks = np.zeros(len(inside) + 2, dtype=np.int8)
+    marks[1:-1] = inside
+    edges = np.flatnonzero(marks[1:] != marks[:-1])
     starts, ends = edges[::2], edges[1::2]
     long = ends - starts >= least
     return list(zip(starts[long].tolist(), ends[long].tolist(), strict=True))
@@ -76,22 +89,46 @@ def base_spans(text: bytes) -> list[tuple[int, int, str, int]]:
             (m.start(), m.end(), "access", m.start())
             for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20
         ]
-    found += [(s, e, "hex", s) for s, e in _runs(np.frombuffer(text, np.uint8), _HEX, 24)]
+    found += [(s, e, "hex", s) for s, e in _runs(_HEX[np.frombuffer(text, np.uint8)], 24)]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def other_runs(text: bytes, spans: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
+def credential_runs(text: bytes, least: int) -> list[tuple[int, int]]:
+    """Maximal runs of credential characters; a single dot between two others belongs to a run."""
+    a = np.frombuffer(text, np.uint8)
+    inside = _RUN[a]
+    dots = np.flatnonzero(a[1:-1] == _DOT) + 1
+    joined = inside.copy()
+    joined[dots] = inside[dots - 1] & inside[dots + 1]
+    return _runs(joined, least)
+
+
+def _covered(text: bytes, spans: list[tuple[int, int, str, int]]) -> np.ndarray:
+    """Before each place: the bytes inside base spans."""
+    inside = np.zeros(len(text) + 1, dtype=np.int64)
+    for s, e, *_ in spans:
+        inside[s + 1 : e + 1] = 1
+    return np.cumsum(inside)
+
+
+def other_runs(text: bytes, spans: list[tuple[int, int, str, int]], least: int) -> list[tuple[int, int]]:
     """Runs of credential characters that no base span touches."""
-    runs = _runs(np.frombuffer(text, np.uint8), _RUN, SHORTEST)
+    runs = credential_runs(text, least)
     if not runs or not spans:
         return runs
-    touched = np.zeros(len(text) + 1, dtype=np.int64)
-    for s, e, *_ in spans:
-        touched[s + 1 : e + 1] = 1
-    before = np.cumsum(touched)
+    before = _covered(text, spans)
     return [(s, e) for s, e in runs if before[s] == before[e]]
 
 
+def candidates(text: bytes, spans: list[tuple[int, int, str, int]], least: int) -> list[tuple[int, int]]:
+    """Runs of credential characters that base spans leave a part of; they are taken whole."""
+    runs = credential_runs(text, least)
+    if not runs or not spans:
+        return runs
+    before = _covered(text, spans)
+    return [(s, e) for s, e in runs if before[e] - before[s] < e - s]
+
+
 # ---- characters as symbols ----
 
 _CLASSES = {
@@ -109,94 +146,141 @@ def symbols(value: bytes) -> tuple[list[str], float]:
     return [s for s, _ in got] + [END], sum(p for _, p in got)
 
 
+def taught(value: bytes) -> list[str]:
+    """The symbols that a value teaches; one longer than ``LEARNED`` bytes is cut and has no end."""
+    if len(value) > LEARNED:
+        return symbols(value[:LEARNED])[0][:-1]
+    return symbols(value)[0]
+
+
+def _prefixes(sequences: list[list[str]]) -> tuple[dict[int, dict[str, int]], dict[int, Counter]]:
+    """Transitions and counts of the prefix tree; sparse nodes of one depth are one state."""
+    tree: list[dict[str, int]] = [{}]
+    passed = [len(sequences)]
+    for sequence in sequences:
+        at = 0
+        for s in sequence[:DEPTH]:
+            if s not in tree[at]:
+                tree[at][s] = len(tree)
+                tree.append({})
+                passed.append(0)
+            at = tree[at][s]
+            passed[at] += 1
+    states: dict[int, dict[str, int]] = {0: {}}
+    counts: dict[int, Counter] = {0: Counter()}
+    for sequence in sequences:
+        at = node = 0
+        for depth, s in enumerate(sequence, 1):
+            counts[at][s] += 1
+            if s == END:
+                break
+            node = tree[node].get(s) if node is not None and depth < DEPTH else None
+            own = node is not None and passed[node] >= EVIDENCE
+            after = node if own else -min(depth, DEPTH)
+            states[at][s] = after
+            states.setdefault(after, {})
+            counts.setdefault(after, Counter())
+            at = after
+    return states, counts
+
+
+def _differ(a: Counter, b: Counter, bound: float) -> bool:
+    """Whether both say enough and their frequencies lie apart."""
+    n, m = a.total(), b.total()
+    if min(n, m) < EVIDENCE:
+        return False
+    most = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+    return any(abs(a[s] / n - b[s] / m) > most for s in a.keys() | b.keys())
+
+
+class _Fold:
+    """States joined into one with all that follows; nothing outside is changed until it is kept."""
+
+    def __init__(self, states, counts, bound: float) -> None:
+        self.states, self.counts, self.bound = states, counts, bound
+        self.into: dict[int, int] = {}
+        self.next: dict[int, dict[str, int]] = {}
+        self.sums: dict[int, Counter] = {}
+
+    def find(self, x: int) -> int:
+        while x in self.into:
+            x = self.into[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        todo = [(a, b)]
+        while todo:
+            x, y = map(self.find, todo.pop())
+            if x == y:
+                continue
+            left, right = (self.sums.get(z, self.counts[z]) for z in (x, y))
+            if _differ(left, right, self.bound):
+                return False
+            after = dict(self.next.get(x, self.states[x]))
+            for s, z in self.next.get(y, self.states[y]).items():
+                if s in after:
+                    todo.append((after[s], z))
+                else:
+                    after[s] = z
+            self.into[y], self.next[x], self.sums[x] = x, after, left + right
+        return True
+
+    def keep(self) -> None:
+        self.states.update(self.next)
+        self.counts.update(self.sums)
+        for gone in self.into:
+            del self.states[gone], self.counts[gone]
+        for after in self.states.values():
+            for s, z in after.items():
+                after[s] = self.find(z)
+
+
 class Automaton:
-    """A probabilistic automaton inferred from sequences of symbols."""
+    """A probabilistic automaton inferred from sequences of symbols; its last state is the sink."""
 
-    def __init__(self, next_: list[dict], counts: list[dict]) -> None:
-        self.next = next_
+    def __init__(self, next_: list[dict[str, int]], counts: list[dict[str, int]]) -> None:
+        self.next = [*next_, {}]
+        self.sink = len(next_)
         self.log = []
-        for c in counts:
+        for c in [*counts, {}]:
             total = sum(c.values()) + 0.5 * len(SYMBOLS)
             self.log.append({s: math.log((c.get(s, 0) + 0.5) / total) for s in SYMBOLS})
 
     @classmethod
     def infer(cls, sequences: list[list[str]], alpha: float = ALPHA) -> Automaton:
-        children: list[dict] = [{}]
-        counts: list[Counter] = [Counter()]
-        for sequence in sequences:
-            at = 0
-            for s in sequence:
-                counts[at][s] += 1
-                if s == END:
-                    break
-                if s not in children[at]:
-                    children[at][s] = len(children)
-                    children.append({})
-                    counts.append(Counter())
-                at = children[at][s]
+        states, counts = _prefixes(sequences)
         bound = math.sqrt(0.5 * math.log(2 / alpha))
-
-        def differ(a: int, b: int) -> bool:
-            n, m = counts[a].total(), counts[b].total()
-            if not n or not m:
-                return False
-            most = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
-            return any(
-                abs(counts[a][s] / n - counts[b][s] / m) > most for s in {*counts[a], *counts[b]}
-            )
-
-        def compatible(a: int, b: int) -> bool:
-            todo = [(a, b)]
-            while todo:
-                x, y = todo.pop()
-                if differ(x, y):
-                    return False
-                todo += [(children[x][s], children[y][s]) for s in children[x] if s in children[y]]
-            return True
-
-        def fold(a: int, b: int) -> None:
-            todo = [(a, b)]
-            while todo:
-                x, y = todo.pop()
-                counts[x].update(counts[y])
-                for s, child in children[y].items():
-                    if s in children[x]:
-                        todo.append((children[x][s], child))
-                    else:
-                        children[x][s] = child
-
-        # red states stay, blue ones are their tree children: each is merged or becomes red
-        red = [0]
-        blue = deque((0, s) for s in sorted(children[0]))
+        # red states stay; blue ones follow them, and each is merged into a red one or becomes red
+        red: dict[int, None] = {}
+        blue = deque([0])
         while blue:
-            parent, s = blue.popleft()
-            state = children[parent][s]
-            if state in red:
+            at = blue.popleft()
+            if at not in states or at in red:
                 continue
-            for r in red:
-                if compatible(r, state):
-                    children[parent][s] = r
-                    fold(r, state)
+            for r in red if counts[at].total() >= EVIDENCE else ():
+                if counts[r].total() < EVIDENCE:
+                    continue
+                fold = _Fold(states, counts, bound)
+                if fold.join(r, at):
+                    fold.keep()
+                    red = {x: None for x in red if x in states}
+                    # what follows the red states may have changed
+                    blue.extend({z: None for x in red for z in states[x].values() if z not in red})
                     break
             else:
-                red.append(state)
-            queued = set(blue)
-            for r in red:
-                for x in sorted(children[r]):
-                    if children[r][x] not in red and (r, x) not in queued:
-                        blue.append((r, x))
+                red[at] = None
+                blue.extend(z for _, z in sorted(states[at].items()) if z not in red)
         number = {r: i for i, r in enumerate(red)}
         return cls(
-            [{s: number[c] for s, c in children[r].items() if c in number} for r in red],
-            [dict(counts[r]) for r in red],
+            [{s: number[z] for s, z in states[r].items()} for r in red], [dict(counts[r]) for r in red]
         )
 
     def score(self, sequence: list[str]) -> float:
-        """Natural log likelihood; after a symbol never seen in a state the start state follows."""
+        """Natural log likelihood; a symbol never seen in a state leads to the sink for good."""
         at, total = 0, 0.0
         for s in sequence:
-            total += self.log[at].get(s, self.log[at][END])
-            at = self.next[at].get(s, 0)
+            total += self.log[at][s]
+            at = self.next[at].get(s, self.sink)
         return total
 
 
@@ -205,15 +289,28 @@ class Formats:
 
     def __init__(self, values: dict[str, list[bytes]]) -> None:
         self.automata = {}
-        ordinary = [symbols(v)[0] for v in values.get("ordinary", ())]
+        ordinary = [taught(v) for v in values.get("ordinary", ())]
         self.ordinary = Automaton.infer(ordinary or [[END]])
         for kind in KINDS[:3]:
-            if len(known := values.get(kind, ())) >= 10:
-                automaton = Automaton.infer([symbols(v)[0] for v in known])
-                scores = sorted(self._mean(automaton, v) for v in known)
-                self.automata[kind] = automaton, scores[len(scores) // 100]
+            known = values.get(kind, ())
+            if len(known) >= EVIDENCE:
+                automaton = Automaton.infer([taught(v) for v in known])
+                self.automata[kind] = automaton, self._lowest(known)
+        self.shortest = min(
+            (len(v) for kind in self.automata for v in values[kind]), default=SHORTEST
+        )
         self._seen: dict[bytes, bool] = {}
 
+    @classmethod
+    def _lowest(cls, known: list[bytes]) -> float:
+        """The lowest per cent of the values' likelihoods, as values not learned from."""
+        scores = []
+        for part in range(PARTS):
+            rest = [taught(v) for i, v in enumerate(known) if i % PARTS != part]
+            automaton = Automaton.infer(rest)
+            scores += [cls._mean(automaton, v) for v in known[part::PARTS]]
+        return sorted(scores)[len(scores) // 100]
+
     @staticmethod
     def _mean(automaton: Automaton, value: bytes) -> float:
         sequence, chars = symbols(value)
@@ -222,7 +319,7 @@ class Formats:
     def accepts(self, value: bytes) -> bool:
         got = self._seen.get(value)
         if got is None:
-            plain = self._mean(self.ordinary, value)
+            plain = self._mean(self.ordinary, value) if self.automata else 0.0
             got = any(
                 (mean := self._mean(a, value)) >= least and mean > plain
                 for a, least in self.automata.values()
@@ -240,22 +337,25 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
 
     def smallest(batches):
         kept: dict[str, dict[bytes, int]] = defaultdict(dict)
-
-        def trim():
-            for kind, values in kept.items():
-                if len(values) > sample:
-                    kept[kind] = dict(heapq.nsmallest(sample, values.items(), lambda x: (x[1], x[0])))
+        most = dict.fromkeys((*KINDS, "ordinary"), 1 << 64)  # hashes from here on are out
+
+        def take(kind, value):
+            h = xxhash.xxh64_intdigest(value) >> 1
+            if h < most[kind]:
+                values = kept[kind]
+                values[value[: LEARNED + 1]] = h
+                if len(values) > 4 * sample:
+                    found = heapq.nsmallest(sample, values.items(), lambda x: (x[1], x[0]))
+                    kept[kind] = dict(found)
+                    most[kind] = found[-1][1] + 1
 
         for frame in batches:
             for text in as_bytes(frame["text"]):
                 spans = base_spans(text)
                 for _, end, kind, value in spans:
-                    v = text[value:end][:LEARNED]
-                    kept[kind][v] = xxhash.xxh64_intdigest(v) >> 1
-                for s, e in other_runs(text, spans):
-                    v = text[s:e][:LEARNED]
-                    kept["ordinary"][v] = xxhash.xxh64_intdigest(v) >> 1
-            trim()
+                    take(kind, text[value:end])
+                for s, e in other_runs(text, spans, SHORTEST):
+                    take("ordinary", text[s:e])
         yield pd.DataFrame(
             [(k, v, h) for k, values in kept.items() for v, h in values.items()],
             columns=["kind", "value", "h"],
@@ -279,8 +379,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
 def all_spans(text: bytes, formats: Formats) -> list[tuple[int, int, str, int]]:
     spans = base_spans(text)
     more = [
-        (s, e, "format", s) for s, e in other_runs(text, spans) if formats.accepts(text[s:e])
-    ]
+        (s, e, "format", s) for s, e in candidates(text, spans, formats.shortest)
+        if formats.accepts(text[s:e])
+    ] if formats.automata else []
     return sorted(spans + more, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
@@ -315,29 +416,21 @@ def find_secrets(docs: DataFrame, formats: Formats | None = None) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """Counts and digests of the spans of each document."""
 
-    def make():
-        def of(found):
-            rows = []
-            for spans in found:
-                spans = [(x["kind"], x["start"], x["end"]) for x in spans]
-                n = Counter(k for k, *_ in spans)
-                base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans if k != "format")
-                rows.append((
-                    n["assign"], n["access"], n["hex"], n["format"],
-                    hashlib.sha256(base.encode()).hexdigest(),
-                    ",".join(f"{k}:{s}:{e}" for k, s, e in spans),
-                ))
-            return pd.DataFrame(
-                rows, columns=["n_assign", "n_access", "n_hex", "n_format", "base_sha256", "spans"]
-            )
+    def joined(found: Column) -> Column:
+        return F.array_join(
+            F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+        )
 
-        return of
+    def of(kind: str) -> Column:
+        return F.filter("found", lambda x: x["kind"] == kind)
 
-    schema = (
-        "n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string"
+    base = F.filter("found", lambda x: x["kind"] != "format")
+    return materialize(find_secrets(docs)).select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
     )
-    found = find_secrets(docs)
-    return found.select("doc_id", per_text(make, schema, "found").alias("r")).select("doc_id", "r.*")
 
 
 def redacted(formats: Formats, mark: str = "[SECRET]") -> Column:

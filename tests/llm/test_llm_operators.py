@@ -99,19 +99,64 @@ def test_secret_spans(spark):
         assert row["n_assign"] + row["n_access"] + row["n_hex"] == len(want)
 
 
-def test_secret_formats_are_learned(spark):
+def likelihood(automaton, value):
+    """By the definition: transition by transition, characters of a class alike."""
+    classes = {"0": "0123456789", "a": "abcdef", "g": "ghijklmnopqrstuvwxyz", "A": "ABCDEF",
+               "G": "GHIJKLMNOPQRSTUVWXYZ"}
+    at, p = 0, 1.0
+    for c in value:
+        s = next((k for k, v in classes.items() if c in v), c)
+        p *= math.exp(automaton.log[at][s]) / len(classes.get(s, "c"))
+        at = automaton.next[at].get(s, automaton.sink)
+    return math.log(p * math.exp(automaton.log[at]["$"]))
+
+
+def test_fixed_lengths_are_learned():
     rng = random.Random(2)
     hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
-    rows = [(i, f'token = "{hexa(40)}" and otherwordsthatarejustlongones') for i in range(60)]
-    upper = hexa(12) + "-" + hexa(12)  # two short runs joined: no base pattern finds it
-    rows.append((60, f"see {upper} here and thesewordsarelongbutarenosecret"))
-    found = {r["doc_id"]: r["found"] for r in secrets.find_secrets(make(spark, rows)).collect()}
-    assert all(s["kind"] != "format" for i in range(60) for s in found[i])
-    grammar = secrets.Automaton.infer([secrets.symbols(hexa(40).encode())[0] for _ in range(80)])
-    good, bad = (secrets.symbols(x)[0] for x in (hexa(40).encode(), b"thesewordsarelongbutarenosecretsatall"))
-    assert grammar.score(good) / len(good) > grammar.score(bad) / len(bad) + 1
-    sums = [sum(math.exp(p) for p in state.values()) for state in grammar.log]
-    assert all(abs(s - 1) < 1e-9 for s in sums)
+    word = lambda: "".join(rng.choice(VOCABULARY[:3]) for _ in range(rng.randint(3, 12)))
+    formats = secrets.Formats({
+        "assign": [hexa(rng.choice((18, 40))).encode() for _ in range(400)],
+        "ordinary": [word().encode() for _ in range(400)],
+    })
+    automaton, _ = formats.automata["assign"]
+    assert len(automaton.log) > 40
+    assert all(abs(sum(math.exp(p) for p in state.values()) - 1) < 1e-9 for state in automaton.log)
+    for n in (18, 40):
+        new = [hexa(n).encode() for _ in range(300)]
+        assert sum(map(formats.accepts, new)) > 280
+        for v in new[:20]:
+            sequence, chars = secrets.symbols(v)
+            assert abs(automaton.score(sequence) + chars - likelihood(automaton, v.decode())) < 1e-6
+    for n in (6, 12, 17, 19, 20, 30, 39, 41, 60, 5000):
+        assert not any(formats.accepts(hexa(n).encode()) for _ in range(50))
+    assert not any(formats.accepts(word().encode()) for _ in range(200))
+
+
+def test_any_length_is_one_loop_and_cut_values_teach_no_end():
+    rng = random.Random(4)
+    lines = [["0"] * (1 + int(rng.expovariate(0.1))) + ["$"] for _ in range(400)]
+    assert len({tuple(n.items()) for n in secrets.Automaton.infer(lines).next}) < 40
+    long = secrets.taught(b"7" * (secrets.LEARNED + 1))
+    assert long == ["0"] * secrets.LEARNED
+    automaton = secrets.Automaton.infer([long] * 30)
+    assert automaton.score(["0"] * 9000) > automaton.score(["0"] * 20 + ["$"] + ["0"] * 5)
+    assert secrets.taught(b"7" * secrets.LEARNED)[-1] == "$"
+
+
+def test_secret_formats_are_found(spark):
+    rng = random.Random(2)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f'token = "{hexa(18)}" and otherwordsthatarejustlongones') for i in range(200)]
+    bare, wrong = hexa(18), hexa(22)
+    rows.append((200, f"sée {bare}. here, {wrong} there and thesewordsarelongbutarenosecret"))
+    rows += [(201, None), (202, ""), (203, bare), (203, bare), (204, "x " * 50_000 + bare)]
+    got = secrets.find_secrets(make(spark, rows)).collect()
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in got}
+    assert all(kind == "assign" for i in range(200) for kind, *_ in found[i])
+    assert found[200] == [("format", 4, 22)] and found[201] == found[202] == []
+    assert found[203] == [("format", 0, 18)] and len(got) == 206
+    assert found[204] == [("format", 100_000, 100_018)]
 
 
 def test_redaction(spark):
@@ -530,9 +575,14 @@ def test_span_places_in_code_points_and_untouched_runs():
         spans = secrets.base_spans(text)
         got = secrets._points(text, spans)
         assert got == [(k, len(text[:s].decode()), len(text[:e].decode())) for s, e, k, _ in spans]
-        runs = secrets._runs(np.frombuffer(text, np.uint8), secrets._RUN, secrets.SHORTEST)
+        runs = [m.span() for m in re.finditer(rb"[\w+/=-]+(?:\.[\w+/=-]+)*", text)]
+        runs = [(s, e) for s, e in runs if e - s >= 6]
+        assert secrets.credential_runs(text, 6) == runs
         free = [r for r in runs if not any(s < r[1] and r[0] < e for s, e, *_ in spans)]
-        assert secrets.other_runs(text, spans) == free
+        assert secrets.other_runs(text, spans, 6) == free
+        inside = {i for s, e, *_ in spans for i in range(s, e)}
+        left = [(s, e) for s, e in runs if not inside.issuperset(range(s, e))]
+        assert secrets.candidates(text, spans, 6) == left
 
 
 @pytest.mark.parametrize("text, letter", [("², ½", False), ("12 é", True), ("_", False), ("日本", True)])
