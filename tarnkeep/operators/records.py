@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 
 def json_path(parts: Sequence[str]) -> str:
@@ -108,75 +109,136 @@ def _kind(value: Column) -> Column:
     )
 
 
-def _spark_type(data_type: T.DataType) -> T.DataType | None:
-    """A variant's own type as a column type; None where its values do not share one.
+#: Steps of a path below a record: an array's elements, the values of an object whose keys are
+#: data, and (with the key after it) an object's field.
+_ELEMENT, _VALUE, _FIELD = "[]", "{}", "."
 
-    Objects whose fields share a type become maps, the others structs.
+Path = tuple[str, ...]
+
+
+def _path_column(path: Path) -> Column:
+    return F.array(*[F.lit(step) for step in path]).cast("array<string>")
+
+
+def _steps(value: Column) -> Column:
+    """What is directly below a value: an array of (step, value), null below scalars."""
+    fields = F.transform(
+        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+        lambda e: F.struct(F.concat(F.lit(_FIELD), e["key"]).alias("step"), e["value"].alias("value")),
+    )
+    elements = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"),
+        lambda v: F.struct(F.lit(_ELEMENT).alias("step"), v.alias("value")),
+    )
+    return F.coalesce(fields, elements)
+
+
+def path_kinds(df: DataFrame, item: str, most_keys: int) -> dict[Path, set[str]]:
+    """The kinds of values at every path below the records that are objects.
+
+    One pass for each level of nesting, over what is nested that deep. The driver gets one row per
+    path and at most ``most_keys`` + 1 keys of an object; where there are more, keys are data, and
+    their values share one path.
     """
-    if isinstance(data_type, T.VariantType):
-        return None
-    if isinstance(data_type, T.NullType):
-        return T.StringType()
-    if isinstance(data_type, T.DecimalType) and not data_type.scale and data_type.precision >= _LARGE:
-        return T.DecimalType(38, 0)
-    if isinstance(data_type, (T.DecimalType, T.FloatType)):
-        return T.DoubleType()
-    if isinstance(data_type, T.ArrayType):
-        element = _spark_type(data_type.elementType)
-        return None if element is None else T.ArrayType(element)
-    if isinstance(data_type, T.StructType):
-        fields = [(f.name, _spark_type(f.dataType)) for f in data_type.fields]
-        if any(kind is None for _, kind in fields):
+    value = F.col(item)
+    is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    level = df.filter(is_object).select(_path_column(()).alias("path"), value.alias("value"))
+    found: dict[Path, set[str]] = {}
+    while True:
+        below = (
+            level.select("path", F.explode(_steps(F.col("value"))).alias("s"))
+            .select("path", "s.step", "s.value", _kind(F.col("s.value")).alias("kind"))
+        )
+        first = F.row_number().over(Window.partitionBy("path").orderBy("step"))
+        rows = (
+            below.groupBy("path", "step").agg(F.collect_set("kind").alias("kinds"))
+            .withColumn("place", first).filter(F.col("place") <= most_keys + 1).collect()
+        )
+        steps: dict[Path, dict[str, set[str]]] = defaultdict(dict)
+        for r in rows:
+            steps[tuple(r.path)][r.step] = set(r.kinds)
+        wide = [path for path, kinds in steps.items() if len(kinds) > most_keys]
+        shared = F.lit(False)
+        for path in wide:
+            shared |= F.col("path") == _path_column(path)
+        if wide:
+            for r in below.filter(shared).groupBy("path").agg(F.collect_set("kind").alias("kinds")).collect():
+                steps[tuple(r.path)] = {_VALUE: set(r.kinds)}
+        new = {(*path, s): kinds for path, after in steps.items() for s, kinds in after.items()}
+        found |= new
+        if not any(kinds & {"object", "array"} for kinds in new.values()):
+            return found
+        step = F.when(shared, F.lit(_VALUE)).otherwise(F.col("step"))
+        level = below.filter(F.col("kind").isin("object", "array")).select(
+            F.concat("path", F.array(step)).alias("path"), "value"
+        )
+
+
+class _Types:
+    """Types of paths, from the kinds at and below them; None where values cannot share one."""
+
+    def __init__(self, kinds: dict[Path, set[str]]) -> None:
+        self.kinds = kinds
+        self.steps: dict[Path, list[str]] = defaultdict(list)
+        for path in sorted(kinds):
+            self.steps[path[:-1]].append(path[-1])
+
+    def of(self, path: Path, column: bool = False) -> T.DataType | None:
+        """The type at a path; in a ``column`` text takes in other scalars, and numbers do not mix."""
+        kinds = self.kinds.get(path, set()) - {"null"}
+        if not kinds:
+            return T.StringType()
+        if kinds <= set(_SCALARS):
+            return self._scalar(kinds, column)
+        if len(kinds) > 1:
             return None
-        kinds = {kind.simpleString(): kind for _, kind in fields}
-        if len(kinds) == 1:
-            return T.MapType(T.StringType(), next(iter(kinds.values())))
-        return T.StructType([T.StructField(n, k) for n, k in fields])
-    return data_type
-
-
-def _merged_type(kinds: set[str], shape: str) -> T.DataType | None:
-    """The type of a key over all records; None if its values cannot share one."""
-    kinds = kinds - {"null"}
-    if not kinds:
-        return T.StringType()
-    if kinds <= set(_SCALARS):
-        if "string" in kinds:
+        if kinds == {"array"}:
+            element = self.of((*path, _ELEMENT))
+            return element and T.ArrayType(element)
+        return self._object(path)
+
+    @staticmethod
+    def _scalar(kinds: set[str], column: bool) -> T.DataType | None:
+        if column and "string" in kinds:
             return T.StringType()
         if kinds == {"whole", "large"}:
-            kinds = {"large"}
-        return _SCALARS[kinds.pop()] if len(kinds) == 1 else None
-    if len(kinds) > 1:
+            return _SCALARS["large"]
+        if len(kinds) == 1:
+            return _SCALARS[next(iter(kinds))]
+        if not column and kinds <= {"whole", "large", "fraction"}:
+            return T.DoubleType()
         return None
-    text = re.sub(r"\bOBJECT<", "STRUCT<", shape)
-    return _spark_type(T.StructType.fromDDL(f"c {text}")["c"].dataType)
 
+    def _object(self, path: Path) -> T.DataType | None:
+        """Objects whose keys are data, or whose fields share a type, become maps, others structs."""
+        fields = [(s, self.of((*path, s))) for s in self.steps[path]]
+        if any(kind is None for _, kind in fields):
+            return None
+        kinds = {kind.simpleString(): kind for _, kind in fields}
+        if len(kinds) < 2:
+            return T.MapType(T.StringType(), next(iter(kinds.values()), T.StringType()))
+        return T.StructType([T.StructField(s.removeprefix(_FIELD), k) for s, k in fields])
 
-def infer_item_schema(df: DataFrame, item: str = "item", most_keys: int = 10_000) -> T.StructType:
-    """The columns of the records, sorted by name; one aggregated row per key reaches the driver.
 
-    More than ``most_keys`` different keys raise: keys that are data (ids, say) make no columns,
-    and such records need a given schema with a map.
+def infer_item_schema(
+    df: DataFrame, item: str = "item", most_keys: int = 10_000
+) -> T.StructType | T.MapType:
+    """The columns of the records, sorted by name.
 
-    Whole and fractional numbers do not merge, nor do scalars and nested values. Whole numbers
-    beyond BIGINT, up to 38 digits, make a DECIMAL column. If one key's values cannot share a
-    type, every column is text.
+    Types are found for each path, at any depth. Objects whose fields share a type become maps, and so do
+    those with more than ``most_keys`` different keys over all records: such keys are data (ids, say).
+    Where the records themselves are such objects the result is the type of that map; its values
+    are text if they cannot share a type.
+
+    Whole and fractional numbers do not merge in a column (below it they make doubles), nor do scalars
+    and nested values. Whole numbers beyond BIGINT, up to 38 digits, make a DECIMAL column. If one
+    column's values cannot share a type, every column is text.
     """
-    entries = F.map_entries(F.try_variant_get(F.col(item), "$", "map<string,variant>"))
-    keys = (
-        df.select(F.explode(entries).alias("entry"))
-        .select(F.col("entry.key").alias("key"), F.col("entry.value").alias("value"))
-        .groupBy("key")
-        .agg(
-            F.collect_set(_kind(F.col("value"))).alias("kinds"),
-            F.schema_of_variant_agg(F.col("value")).alias("shape"),
-        )
-        .limit(most_keys + 1)
-        .collect()
-    )
-    if len(keys) > most_keys:
-        raise ValueError(f"records have more than {most_keys} different keys: give a schema")
-    types = {r.key: _merged_type(set(r.kinds), r.shape) for r in keys}
+    found = _Types(path_kinds(df, item, most_keys))
+    columns = found.steps[()]
+    if columns == [_VALUE]:
+        return T.MapType(T.StringType(), found.of((_VALUE,)) or T.StringType())
+    types = {c.removeprefix(_FIELD): found.of((c,), column=True) for c in columns}
     if any(t is None for t in types.values()):
         types = dict.fromkeys(types, T.StringType())
     return T.StructType([T.StructField(k, types[k]) for k in sorted(types)])
@@ -188,16 +250,21 @@ def _type_text(data_type: T.DataType) -> str:
 
 
 def items_to_table(
-    df: DataFrame, schema: T.StructType | str | None = None, item: str = "item"
+    df: DataFrame, schema: T.StructType | str | None = None, item: str = "item",
+    most_keys: int = 10_000,
 ) -> DataFrame:
     """Records as a table; the schema is inferred unless given.
 
-    Inference goes through the records once before; save them first where they are dear to make.
-    A value that does not fit its column's type is null. Records that are no objects give one
-    text column ``value``.
+    Inference goes through the records once before for each level of nesting; save them first where
+    they are dear to make. A value that does not fit its column's type is null. Records that are no
+    objects give one text column ``value``, and records whose keys are data (more than ``most_keys``)
+    one map column ``value``.
     """
     if schema is None:
-        schema = infer_item_schema(df, item)
+        schema = infer_item_schema(df, item, most_keys)
+        if isinstance(schema, T.MapType):
+            whole = F.try_variant_get(F.col(item), "$", _type_text(schema))
+            return df.select(whole.alias("value"))
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if not schema.fields:

@@ -514,6 +514,12 @@ ORACLES: dict[str, str] = {
     "json_items_inferred": """SELECT event_id, user_id, event_type, value,
         CAST(json_extract(props, '$.k') AS BIGINT) AS k,
         epoch_us(ts) AS ts_micros FROM events""",
+    "json_deep_records": """WITH e AS (
+          SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+        SELECT event_id AS id, user_id, event_type AS name, user_id % 3 AS code,
+               k + event_id % 5 AS n, CASE WHEN event_id % 2 = 1 THEN 'odd' END AS label, value,
+               event_type, CAST(1 AS BIGINT) AS keys FROM e""",
+    "json_keyed_records": "SELECT 'e' || event_id AS key, user_id FROM events",
     "json_props": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
         FROM events""",
     "csv_contract": f"WITH {ORDERS_TEXT} SELECT * FROM orders_text",

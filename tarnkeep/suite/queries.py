@@ -601,6 +601,46 @@ def json_large_numbers(spark, sf):
     return records.items_to_table(items).select(F.col("id").cast("string").alias("id"))
 
 
+@query
+def json_deep_records(spark, sf):
+    """Records nested three deep, one of their objects keyed by data: types are found by path."""
+    props = F.from_json("props", "struct<k bigint>")
+    odd = F.col("event_id") % 2 == 1
+    record = F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.col("user_id").alias("id"), F.struct(
+            F.col("event_type").alias("name"), F.array(F.col("user_id") % 3, props["k"]).alias("codes"),
+        ).alias("kind")).alias("who"),
+        F.array(
+            F.struct(props["k"].alias("n"), F.when(odd, "odd").alias("label")),
+            F.struct((F.col("event_id") % 5).alias("n"), F.lit("rest").alias("label")),
+        ).alias("lines"),
+        F.create_map(F.concat(F.lit("u"), "event_id"), F.struct("value", "event_type")).alias("by_id"),
+    )
+    bodies = table(spark, sf, "events").select(F.to_json(F.array(record)).alias("body"))
+    items = materialize(records.extract_items(bodies, "body", "items"))
+    found = records.items_to_table(items, most_keys=50)
+    own = F.col("by_id")[F.concat(F.lit("u"), "id")]
+    return found.select(
+        "id", F.col("who.id").alias("user_id"), F.col("who.kind.name").alias("name"),
+        F.col("who.kind.codes")[0].alias("code"), F.aggregate(
+            "lines", F.lit(0).cast("long"), lambda s, x: s + x["n"]
+        ).alias("n"),
+        F.col("lines")[0]["label"].alias("label"), own["value"].alias("value"),
+        own["event_type"].alias("event_type"), F.size("by_id").cast("long").alias("keys"),
+    )
+
+
+@query
+def json_keyed_records(spark, sf):
+    """Records whose keys are data make one map column."""
+    entry = F.create_map(F.concat(F.lit("e"), "event_id"), F.col("user_id"))
+    bodies = table(spark, sf, "events").select(F.to_json(F.array(entry)).alias("body"))
+    items = materialize(records.extract_items(bodies, "body", "items"))
+    found = records.items_to_table(items, most_keys=50)
+    return found.select(F.explode("value").alias("key", "user_id"))
+
+
 @query
 def json_props(spark, sf):
     """A plain path into a text column: one record per event."""

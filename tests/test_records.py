@@ -66,6 +66,48 @@ def test_conflicting_types_make_every_column_text(spark, records):
     assert sorted(str(r.b) for r in df.collect()) == ["1", "2", "None"]
 
 
+def typed(spark, *records, **options):
+    body = json.dumps(list(records))
+    found = extract_items(spark.createDataFrame([(body,)], "body string"), "body", "items")
+    return infer_item_schema(found, **options).simpleString()
+
+
+def test_types_are_found_at_any_depth(spark):
+    assert typed(
+        spark,
+        {"a": {"b": [{"c": 1, "d": None}, {"c": 2.5}], "e": {}}, "f": [[1], []], "g": [], "h": [None]},
+        {"a": {"b": [], "e": {"x": "y"}}, "f": [[12345678901234567890]], "g": None},
+        {"a": None, "f": [], "z": {"p": {"q": True}, "r": [1]}}, 7, None, [{"no": 1}],
+    ) == (
+        "struct<a:struct<b:array<struct<c:double,d:string>>,e:map<string,string>>,"
+        "f:array<array<decimal(38,0)>>,g:array<string>,h:array<string>,"
+        "z:struct<p:map<string,boolean>,r:array<bigint>>>"
+    )
+
+
+def test_keys_that_are_data_become_maps(spark):
+    records = [
+        {"id": i, "by": {f"u{i}": {"n": i, "s": "x"}}, "deep": [{f"k{i}": {f"m{i}": 1.5}}]} for i in range(30)
+    ]
+    assert typed(spark, *records, most_keys=29) == (
+        "struct<by:map<string,struct<n:bigint,s:string>>,deep:array<map<string,map<string,double>>>,id:bigint>"
+    )
+    wide = [{f"u{i}": i} for i in range(30)]
+    assert typed(spark, *wide, most_keys=29) == "map<string,bigint>"
+    assert typed(spark, *wide, most_keys=30).startswith("struct<u0:bigint,u1:bigint")
+    assert typed(spark, *wide, {"v": "text"}, most_keys=29) == "map<string,string>"
+    # a value that differs in kind under one key of a map leaves no shared type
+    odd = [{"id": i, "by": {f"u{i}": i if i else "x"}} for i in range(30)]
+    assert typed(spark, *odd, most_keys=29) == "struct<by:string,id:string>"
+
+
+def test_records_with_data_keys_are_read_as_maps(spark):
+    body = json.dumps([{f"u{i}": {"n": i}} for i in range(20)] + [{}, 5])
+    found = extract_items(spark.createDataFrame([(body,)], "body string"), "body", "items")
+    rows = [r.value for r in items_to_table(found, most_keys=10).collect()]
+    assert rows == [{f"u{i}": {"n": i}} for i in range(20)] + [{}, None]
+
+
 def test_given_schema_and_misfits(spark):
     df = table(spark, {"a": "5", "b": {"x y": 1}}, {"a": "q"}, schema="a INT, b STRUCT<`x y`: INT>, c DATE")
     assert [(r.a, r.b and r.b["x y"], r.c) for r in df.collect()] == [(5, 1, None), (None, None, None)]
