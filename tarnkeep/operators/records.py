@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -94,19 +95,26 @@ _SCALARS = {
 _LARGE = 19
 
 
-def _kind(value: Column) -> Column:
-    shape = F.schema_of_variant(value)
-    digits = F.regexp_extract(shape, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
-    return (
-        F.when(shape == "STRING", F.lit("string"))
-        .when(shape == "BIGINT", F.lit("whole"))
-        .when(digits >= _LARGE, F.lit("large"))
-        .when(shape == "BOOLEAN", F.lit("boolean"))
-        .when(shape == "VOID", F.lit("null"))
-        .when(shape.startswith("OBJECT"), F.lit("object"))
-        .when(shape.startswith("ARRAY"), F.lit("array"))
-        .otherwise(F.lit("fraction"))
-    )
+#: Kinds by the name of a variant's type; DECIMAL has its digits behind it.
+_KINDS = {
+    "STRING": "string", "BIGINT": "whole", "BOOLEAN": "boolean", "VOID": "null", "OBJECT": "object",
+    "ARRAY": "array",
+}
+
+
+def _type_name(value: Column) -> Column:
+    """A value's type without what is below it: few different texts, whatever the data."""
+    return F.substring_index(F.schema_of_variant(value), "<", 1)
+
+
+def _kinds(names: Sequence[str]) -> set[str]:
+    def kind(name: str) -> str:
+        digits = re.fullmatch(r"DECIMAL\((\d+),0\)", name)
+        if digits and int(digits[1]) >= _LARGE:
+            return "large"
+        return _KINDS.get(name, "fraction")
+
+    return {kind(name) for name in names}
 
 
 #: Steps of a path below a record: an array's elements, the values of an object whose keys are
@@ -120,19 +128,6 @@ def _path_column(path: Path) -> Column:
     return F.array(*[F.lit(step) for step in path]).cast("array<string>")
 
 
-def _steps(value: Column) -> Column:
-    """What is directly below a value: an array of (step, value), null below scalars."""
-    fields = F.transform(
-        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
-        lambda e: F.struct(F.concat(F.lit(_FIELD), e["key"]).alias("step"), e["value"].alias("value")),
-    )
-    elements = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"),
-        lambda v: F.struct(F.lit(_ELEMENT).alias("step"), v.alias("value")),
-    )
-    return F.coalesce(fields, elements)
-
-
 def path_kinds(df: DataFrame, item: str, most_keys: int) -> dict[Path, set[str]]:
     """The kinds of values at every path below the records that are objects.
 
@@ -140,37 +135,38 @@ def path_kinds(df: DataFrame, item: str, most_keys: int) -> dict[Path, set[str]]
     path and at most ``most_keys`` + 1 keys of an object; where there are more, keys are data, and
     their values share one path.
     """
-    value = F.col(item)
-    is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-    level = df.filter(is_object).select(_path_column(()).alias("path"), value.alias("value"))
+    below_value = df.sparkSession.tvf.variant_explode(F.col("whole").outer())
+    step = F.when(F.col("key").isNull(), F.lit(_ELEMENT)).otherwise(F.concat(F.lit(_FIELD), "key"))
+    level = df.select(_path_column(()).alias("path"), F.col(item).alias("whole"))
     found: dict[Path, set[str]] = {}
     while True:
-        below = (
-            level.select("path", F.explode(_steps(F.col("value"))).alias("s"))
-            .select("path", "s.step", "s.value", _kind(F.col("s.value")).alias("kind"))
+        below = level.lateralJoin(below_value).select(
+            "path", step.alias("step"), "value", _type_name(F.col("value")).alias("name")
         )
+        if not found:
+            below = below.filter(F.col("step") != _ELEMENT)  # records that are lists are no objects
         first = F.row_number().over(Window.partitionBy("path").orderBy("step"))
         rows = (
-            below.groupBy("path", "step").agg(F.collect_set("kind").alias("kinds"))
+            below.groupBy("path", "step").agg(F.collect_set("name").alias("names"))
             .withColumn("place", first).filter(F.col("place") <= most_keys + 1).collect()
         )
         steps: dict[Path, dict[str, set[str]]] = defaultdict(dict)
         for r in rows:
-            steps[tuple(r.path)][r.step] = set(r.kinds)
+            steps[tuple(r.path)][r.step] = _kinds(r.names)
         wide = [path for path, kinds in steps.items() if len(kinds) > most_keys]
         shared = F.lit(False)
         for path in wide:
             shared |= F.col("path") == _path_column(path)
         if wide:
-            for r in below.filter(shared).groupBy("path").agg(F.collect_set("kind").alias("kinds")).collect():
-                steps[tuple(r.path)] = {_VALUE: set(r.kinds)}
+            for r in below.filter(shared).groupBy("path").agg(F.collect_set("name").alias("names")).collect():
+                steps[tuple(r.path)] = {_VALUE: _kinds(r.names)}
         new = {(*path, s): kinds for path, after in steps.items() for s, kinds in after.items()}
         found |= new
         if not any(kinds & {"object", "array"} for kinds in new.values()):
             return found
-        step = F.when(shared, F.lit(_VALUE)).otherwise(F.col("step"))
-        level = below.filter(F.col("kind").isin("object", "array")).select(
-            F.concat("path", F.array(step)).alias("path"), "value"
+        last = F.when(shared, F.lit(_VALUE)).otherwise(F.col("step"))
+        level = below.filter(F.col("name").isin("OBJECT", "ARRAY")).select(
+            F.concat("path", F.array(last)).alias("path"), F.col("value").alias("whole")
         )
 
 
