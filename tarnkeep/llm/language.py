@@ -249,7 +249,7 @@ class Languages:
 
 
 _ROWS = (
-    "doc_id long, held_out boolean, learned boolean, row long, total array<double>,"
+    "doc_id long, key long, held_out boolean, learned boolean, row long, total array<double>,"
     " h array<long>, times array<int>, new array<binary>"
 )
 
@@ -282,34 +282,40 @@ def _partly(batches, packed, prior: np.ndarray):
         hashes = np.fromiter((digest(w, 42) for r in rare for w in r), np.uint64, int((~here).sum())).view(np.int64)
         sums = np.append(0, np.cumsum(np.where(judged, len(prior), 0)))
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), batch.column("held_out"), batch.column("learned"),
+            batch.column("doc_id"), batch.column("key"), batch.column("held_out"), batch.column("learned"),
             pa.array(base + np.arange(len(texts))),
             pa.ListArray.from_arrays(pa.array(sums, pa.int32()), pa.array(total[np.array(judged, bool)].ravel())),
             pa.ListArray.from_arrays(offsets, pa.array(hashes)),
             pa.ListArray.from_arrays(offsets, pa.array(times[~here], pa.int32())),
             pa.array([[] if k else r for k, r in zip(learned, rare, strict=True)], pa.list_(pa.binary())),
-        ], names=["doc_id", "held_out", "learned", "row", "total", "h", "times", "new"])
+        ], names=["doc_id", "key", "held_out", "learned", "row", "total", "h", "times", "new"])
         base += len(texts)
 
 
-def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """Contract columns of every document."""
+def report(docs: DataFrame, hot: int = HOT, key: str | None = None) -> DataFrame:
+    """Contract columns of every document.
+
+    ``key``: a long column of ``docs`` that comes along as ``key``, with ``learned_any``, whether
+    any language was learned.
+    """
     spark = docs.sparkSession
     model = Languages(docs)
     n = len(model.languages)
+    carried = F.col(key).cast("long") if key else F.lit(None).cast("long")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.col("lang").cast("string").alias("lang"),
+        F.col("lang").cast("string").alias("lang"), carried.alias("key"),
     ).withColumn("held_out", crc_of_id(FOLDS) == HELD)
+    extra = ["key", F.lit(bool(n)).alias("learned_any")] if key else []
     if not n:
         return texts.select(
-            "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+            "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), *extra
         )
     frequent = spark.sparkContext.broadcast(model.hot(hot))
     prior = model.prior
     learned = (~F.col("held_out") & F.col("lang").isNotNull()).alias("learned")
     rows = materialize(
-        texts.select("doc_id", "text", "held_out", learned)
+        texts.select("doc_id", "key", "text", "held_out", learned)
         .mapInArrow(lambda batches: _partly(batches, frequent.value, prior), _ROWS)
     )
     vector = [f"v{i}" for i in range(n)]
@@ -332,5 +338,5 @@ def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
     first = F.get(names, F.array_position("total", best).cast("int") - 1)
     return judged.select(
         "doc_id", "held_out", F.when(some, first).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(some, 1 / odds).otherwise(0.0).alias("score"),
+        F.when(some, 1 / odds).otherwise(0.0).alias("score"), *extra,
     )
