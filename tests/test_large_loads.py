@@ -66,3 +66,20 @@ def test_rows_that_change_while_they_are_loaded_end_the_load(spark, monkeypatch)
     monkeypatch.setattr(buckets.KeyBuckets, "_as_met", lambda self, new, dates, f=KeyBuckets._as_met: f(self, new, {}))
     with pytest.raises(Exception, match="changed while they were loaded"):
         loaded(spark, [sales(spark, 100), sales(spark, 100, "3")])
+
+
+@pytest.mark.parametrize("dated_by", [None, "day"])
+def test_a_bucket_is_not_one_task_s(spark, unmerged, monkeypatch, dated_by):
+    dealt = []
+    original = buckets.splice
+
+    def spy(rows, *args):
+        dealt.append(rows.select(F.spark_partition_id().alias("p")).distinct().count())
+        return original(rows, *args)
+
+    monkeypatch.setattr(buckets, "splice", spy)
+    store = KeyBuckets(scratch_dir(spark), ["k"], 1)
+    rows = spark.range(400).selectExpr("id % 200 as k", "id % 7 as a", "date_add(date '2024-01-01', cast(id % 9 as int)) as day")
+    for part in range(2):
+        load_history(spark, rows.filter(f"id % 2 = {part}") if dated_by else rows, store, ["k"], ["a"], "2024-01-01", dated_by=dated_by)
+    assert min(dealt) == 4  # the session's shuffle partitions
