@@ -3,11 +3,16 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tarnkeep.operators import dedup
 from tarnkeep.operators.scd2 import HASH, record_hash, scd2_stage
 from tarnkeep.plans.jobs import NULL_TOKEN, load_history
-from tarnkeep.session import scratch_dir
+from tarnkeep.plans import jobs
+from tarnkeep.session import materialize, scratch_dir
 from tarnkeep.sinks import buckets
 from tarnkeep.sinks.buckets import KeyBuckets
+from tarnkeep.suite.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -83,3 +88,22 @@ def test_a_bucket_is_not_one_task_s(spark, unmerged, monkeypatch, dated_by):
     for part in range(2):
         load_history(spark, rows.filter(f"id % 2 = {part}") if dated_by else rows, store, ["k"], ["a"], "2024-01-01", dated_by=dated_by)
     assert min(dealt) == 4  # the session's shuffle partitions
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_distinct_by_hashes_is_distinct(spark, monkeypatch, most):
+    monkeypatch.setattr(dedup, "REPEATED", most)
+    rows = spark.range(60).selectExpr("id % 50 as a", "if(id % 7 = 0, null, 'x') as b", "if(id % 2 = 0, 0.0D, -0.0D) as c")
+    rows = materialize(rows.union(rows.filter("a = 3")).union(spark.sql("SELECT cast(null as bigint), null, null FROM range(3)")))
+    same = lambda df: sorted(map(str, df.collect()))
+    got = dedup.distinct_mostly(rows)
+    assert same(got.withColumn("c", F.col("c") + 0.0)) == same(rows.dropDuplicates().withColumn("c", F.col("c") + 0.0))
+    # rows without a copy are not shuffled
+    alone = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line]
+    assert len(alone) == 1 and ("Union" in got._jdf.queryExecution().executedPlan().toString()) == bool(most)
+
+
+def test_the_clean_table_is_made_without_shuffling_every_row(spark, monkeypatch):
+    told = []
+    monkeypatch.setattr(jobs, "distinct_mostly", lambda df: told.append(1) or dedup.distinct_mostly(df))
+    assert QUERIES["medallion_job"](spark, SMALL).count() > 0 and told == [1]
