@@ -11,8 +11,8 @@ so far disagree. States with fewer than ``EVIDENCE`` values are left as they are
 Every run of credential characters in every text that is not wholly inside base spans, and has the
 length of the shortest learned value or more, is scored by each automaton. A run becomes a span of
 kind ``format`` if its likelihood per character is at least that of the lowest per cent of labelled
-values, each scored by an automaton learned without it (``PARTS`` parts in turn), and above that of
-ordinary runs.
+values, and above that of ordinary runs. All distinct labelled values of the corpus are scored for that,
+whole, each by an automaton learned without it: those of the sample in ``PARTS`` parts in turn.
 
 Nulls, empty texts and texts without runs have no spans. Rows are independent of each other, so
 repeated rows give equal results; an empty table gives an empty result and learns nothing, then
@@ -49,6 +49,8 @@ _DOT = ord(".")
 SAMPLE = 400
 #: Bytes of a sampled value that are learned from; scoring always takes whole values.
 LEARNED = 4096
+#: Bytes of labelled values that a task holds before it passes them on.
+HELD_BYTES = 1 << 24
 #: Bytes up to which a scored value is remembered by its task.
 REMEMBERED = 256
 #: The shortest value of a pattern, and so the shortest run that can be one.
@@ -301,14 +303,19 @@ class Formats:
         )
         self._seen: dict[bytes, bool] = {}
 
+    @staticmethod
+    def without(known: list[bytes]) -> list[Automaton]:
+        """For each part of the values an automaton learned from the others."""
+        return [
+            Automaton.infer([taught(v) for i, v in enumerate(known) if i % PARTS != part])
+            for part in range(PARTS)
+        ]
+
     @classmethod
     def _lowest(cls, known: list[bytes]) -> float:
         """The lowest per cent of the values' likelihoods, as values not learned from."""
-        scores = []
-        for part in range(PARTS):
-            rest = [taught(v) for i, v in enumerate(known) if i % PARTS != part]
-            automaton = Automaton.infer(rest)
-            scores += [cls._mean(automaton, v) for v in known[part::PARTS]]
+        automata = cls.without(known)
+        scores = [cls._mean(automata[i % PARTS], v) for i, v in enumerate(known)]
         return sorted(scores)[len(scores) // 100]
 
     @staticmethod
@@ -316,6 +323,41 @@ class Formats:
         sequence, chars = symbols(value)
         return (automaton.score(sequence) + chars) / len(sequence)
 
+    def calibrate(self, labelled: DataFrame, values: dict[str, list[bytes]]) -> None:
+        """Take the lowest accepted likelihoods from all ``labelled`` values (kind, value), whole.
+
+        ``values`` are those that were learned from, cut as they were.
+        """
+        if not self.automata:
+            return
+        whole = {kind: automaton for kind, (automaton, _) in self.automata.items()}
+        parts = {kind: self.without(values[kind]) for kind in whole}
+        learned = {kind: {v: i % PARTS for i, v in enumerate(values[kind])} for kind in whole}
+
+        def score(frames):
+            for frame in frames:
+                means = []
+                for kind, value in zip(frame["kind"], map(bytes, frame["value"]), strict=True):
+                    part = learned[kind].get(value[: LEARNED + 1])
+                    means.append(Formats._mean(whole[kind] if part is None else parts[kind][part], value))
+                yield pd.DataFrame({"kind": frame["kind"], "mean": np.array(means, dtype=float)})
+
+        known = labelled.filter(F.col("kind").isin(*whole)).select("kind", "value")
+        means = materialize(known.mapInPandas(score, "kind string, mean double"))
+        # rows of a partition are numbered in order: places are found from the partitions' counts
+        ranked = materialize(means.orderBy("kind", "mean").withColumn("at", F.monotonically_increasing_id()))
+        blocks = ranked.groupBy("kind", F.shiftright("at", 33).alias("block")).agg(
+            F.count("*").alias("n"), F.min("at").alias("first")
+        ).orderBy("kind", "block").collect()
+        for kind, automaton in whole.items():
+            rank = sum(b.n for b in blocks if b.kind == kind) // 100
+            for b in (b for b in blocks if b.kind == kind):
+                if rank < b.n:
+                    place = ranked.filter((F.col("kind") == kind) & (F.col("at") == b["first"] + rank))
+                    self.automata[kind] = automaton, place.first()["mean"]
+                    break
+                rank -= b.n
+
     def accepts(self, value: bytes) -> bool:
         got = self._seen.get(value)
         if got is None:
@@ -335,45 +377,52 @@ class Formats:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
     """Automata from the ``sample`` values with the smallest hashes of each kind, of all texts."""
 
-    def smallest(batches):
-        kept: dict[str, dict[bytes, int]] = defaultdict(dict)
-        most = dict.fromkeys((*KINDS, "ordinary"), 1 << 64)  # hashes from here on are out
+    def found(batches):
+        # ordinary runs: those with the smallest hashes
+        kept, most = {}, 1 << 64  # hashes from here on are out
+        labelled, size = {}, 0
 
-        def take(kind, value):
-            h = xxhash.xxh64_intdigest(value) >> 1
-            if h < most[kind]:
-                values = kept[kind]
-                values[value[: LEARNED + 1]] = h
-                if len(values) > 4 * sample:
-                    found = heapq.nsmallest(sample, values.items(), lambda x: (x[1], x[0]))
-                    kept[kind] = dict(found)
-                    most[kind] = found[-1][1] + 1
+        def rows(kinds):
+            return pd.DataFrame(kinds, columns=["kind", "value", "h"])
 
         for frame in batches:
             for text in as_bytes(frame["text"]):
                 spans = base_spans(text)
-                for _, end, kind, value in spans:
-                    take(kind, text[value:end])
+                for _, end, kind, start in spans:
+                    value = text[start:end]
+                    if (kind, value) not in labelled:
+                        labelled[kind, value] = xxhash.xxh64_intdigest(value) >> 1
+                        size += len(value) + 100
+                    if size > HELD_BYTES:
+                        yield rows([(k, v, h) for (k, v), h in labelled.items()])
+                        labelled, size = {}, 0
                 for s, e in other_runs(text, spans, SHORTEST):
-                    take("ordinary", text[s:e])
-        yield pd.DataFrame(
-            [(k, v, h) for k, values in kept.items() for v, h in values.items()],
-            columns=["kind", "value", "h"],
-        )
+                    value = text[s:e]
+                    h = xxhash.xxh64_intdigest(value) >> 1
+                    if h < most:
+                        kept[value[: LEARNED + 1]] = h
+                        if len(kept) > 4 * sample:
+                            least = heapq.nsmallest(sample, kept.items(), lambda x: (x[1], x[0]))
+                            kept, most = dict(least), least[-1][1] + 1
+        yield rows([(k, v, h) for (k, v), h in labelled.items()])
+        yield rows([("ordinary", v, h) for v, h in kept.items()])
 
     rows = materialize(
-        doc_columns(docs).select("text").mapInPandas(smallest, "kind string, value binary, h long")
+        doc_columns(docs).select("text").mapInPandas(found, "kind string, value binary, h long")
         .distinct()
     )
+    cut = rows.select("kind", F.substring("value", 1, LEARNED + 1).alias("value"), "h")
     parts = [
-        rows.filter(F.col("kind") == k).orderBy("h", "value").limit(sample)
+        cut.filter(F.col("kind") == k).orderBy("h", "value").limit(sample)
         for k in (*KINDS[:3], "ordinary")
     ]
     union = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
     values = defaultdict(list)
     for r in sorted(union.collect(), key=lambda r: (r.kind, r.h, bytes(r.value))):
         values[r.kind].append(bytes(r.value))
-    return Formats(values)
+    formats = Formats(values)
+    formats.calibrate(rows, values)
+    return formats
 
 
 def all_spans(text: bytes, formats: Formats) -> list[tuple[int, int, str, int]]:

@@ -588,3 +588,30 @@ def test_span_places_in_code_points_and_untouched_runs():
 @pytest.mark.parametrize("text, letter", [("², ½", False), ("12 é", True), ("_", False), ("日本", True)])
 def test_what_a_letter_is(text, letter):
     assert language.has_letter(text) == letter
+
+
+def test_secret_limits_come_from_all_values_whole(spark):
+    rng = random.Random(5)
+    keys = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(300)]
+    odd = "z" * 5000 + "-"  # longer than what is learned of a value
+    rows = [(i, f"token={k}") for i, k in enumerate(keys)] + [(900 + i, f"token={odd}{i}") for i in range(6)]
+    docs = make(spark, [*rows, *rows])
+    for sample in (40, 400):
+        values, asked = {}, secrets.Formats.calibrate
+
+        def spy(self, labelled, taught, values=values, asked=asked):
+            values.update(taught)
+            asked(self, labelled, taught)
+
+        secrets.Formats.calibrate = spy
+        try:
+            formats = secrets.learn(docs, sample)
+        finally:
+            secrets.Formats.calibrate = asked
+        taught, automata = values["assign"], formats.without(values["assign"])
+        at = {v: i % secrets.PARTS for i, v in enumerate(taught)}
+        means = sorted(
+            formats._mean(automata[at[cut]] if (cut := v[: secrets.LEARNED + 1]) in at else formats.automata["assign"][0], v)
+            for v in {t.split("=", 1)[1].encode() for _, t in rows}
+        )
+        assert len(taught) <= sample and formats.automata["assign"][1] == pytest.approx(means[306 // 100], abs=1e-12)
