@@ -10,6 +10,7 @@ from tarnkeep.plans import jobs
 from tarnkeep.session import materialize, scratch_dir
 from tarnkeep.sinks import buckets
 from tarnkeep.sinks.buckets import KeyBuckets
+from tarnkeep.suite import queries
 from tarnkeep.suite.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -107,3 +108,10 @@ def test_the_clean_table_is_made_without_shuffling_every_row(spark, monkeypatch)
     told = []
     monkeypatch.setattr(jobs, "distinct_mostly", lambda df: told.append(1) or dedup.distinct_mostly(df))
     assert QUERIES["medallion_job"](spark, SMALL).count() > 0 and told == [1]
+
+
+def test_what_is_written_is_compressed(spark):
+    rows = spark.range(5000).selectExpr("id", "md5(string(id)) as h")
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(queries._csv(rows)).inputFiles())
+    assert all(".zstd." in f for f in materialize(rows).inputFiles())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
