@@ -5,15 +5,14 @@ from pyspark.sql import functions as F
 
 from tarnkeep.operators import dedup
 from tarnkeep.operators.scd2 import HASH, record_hash, scd2_stage
-from tarnkeep.plans.jobs import NULL_TOKEN, load_history
 from tarnkeep.plans import jobs
+from tarnkeep.plans.jobs import NULL_TOKEN, load_history
+from tarnkeep.plans.tables import ORDERS
 from tarnkeep.session import materialize, scratch_dir
 from tarnkeep.sinks import buckets
 from tarnkeep.sinks.buckets import KeyBuckets
+from tarnkeep.sinks.history import HistoryTable
 from tarnkeep.suite import queries
-from tarnkeep.suite.queries import QUERIES
-
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -107,7 +106,21 @@ def test_distinct_by_hashes_is_distinct(spark, monkeypatch, most):
 def test_the_clean_table_is_made_without_shuffling_every_row(spark, monkeypatch):
     told = []
     monkeypatch.setattr(jobs, "distinct_mostly", lambda df: told.append(1) or dedup.distinct_mostly(df))
-    assert QUERIES["medallion_job"](spark, SMALL).count() > 0 and told == [1]
+    rows = spark.range(30).selectExpr(*[
+        f"'2024-01-0{1 + i % 9}' as {c}" if "date" in c else f"string(id % 20) as {c}" for i, c in enumerate(ORDERS.names)
+    ])
+    schema = queries._new_schema(spark, "own")
+    names = jobs.MedallionTables(*[f"{schema}.{t}" for t in ("bronze", "clean", "silver", "log")])
+    jobs.medallion_job(spark, queries._csv(rows), names, as_of="2024-03-01 06:00:00")
+    assert spark.table(names.silver).count() == 20 and told == [1]
+
+
+@pytest.mark.parametrize("hashes", ["md5(string(id))", "if(id % 2 = 0, 'ABC', '')", "cast(null as string)", "'abc'"])
+def test_tables_shuffle_hashes_as_bytes_and_keep_them(spark, hashes):
+    rows = spark.range(20).selectExpr("id as k", f"{hashes} as {HASH}")
+    dealt = HistoryTable("none", ["k"], 3)._by_bucket(rows)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    assert dealt.columns == rows.columns and "unhex" in dealt._jdf.queryExecution().analyzed().toString()
 
 
 def test_what_is_written_is_compressed(spark):
